@@ -160,20 +160,29 @@ clustered AS (
 
 CROSS = "({1}.x - {0}.x) * ({2}.y - {0}.y) - ({1}.y - {0}.y) * ({2}.x - {0}.x)"
 HULL = CLUSTERS + f""", dots AS (
-  SELECT DISTINCT cluster, CAST(slope AS DOUBLE) AS x, mean AS y FROM clustered
-  WHERE m = (SELECT max(m) FROM clustered)),
+  SELECT DISTINCT month, cluster, CAST(slope AS DOUBLE) AS x, mean AS y FROM clustered),
 outermost AS (
-  SELECT cluster, count(*) AS n, min({{'x': x, 'y': y}}) AS a, max({{'x': x, 'y': y}}) AS b FROM dots GROUP BY cluster),
+  SELECT month, cluster, count(*) AS n, min({{'x': x, 'y': y}}) AS a, max({{'x': x, 'y': y}}) AS b
+  FROM dots GROUP BY month, cluster),
+edges AS (
+  SELECT p.month, p.cluster, p.x, p.y FROM dots p
+  JOIN dots q ON p.month = q.month AND p.cluster = q.cluster AND (p.x <> q.x OR p.y <> q.y)
+  LEFT JOIN dots r ON r.month = p.month AND r.cluster = p.cluster
+    AND (r.x <> p.x OR r.y <> p.y) AND (r.x <> q.x OR r.y <> q.y)
+  GROUP BY p.month, p.cluster, p.x, p.y, q.x, q.y
+  HAVING count(*) FILTER ({CROSS.format('p', 'q', 'r')} < 0 OR ({CROSS.format('p', 'q', 'r')} = 0
+    AND (r.x - p.x) * (r.x - q.x) + (r.y - p.y) * (r.y - q.y) > 0)) = 0),
 corners AS (
-  SELECT DISTINCT p.cluster, p.x, p.y FROM dots p JOIN dots q ON p.cluster = q.cluster AND (p.x, p.y) <> (q.x, q.y)
-  WHERE NOT EXISTS (
-    SELECT 1 FROM dots r WHERE r.cluster = p.cluster AND (r.x, r.y) <> (p.x, p.y) AND (r.x, r.y) <> (q.x, q.y)
-      AND ({CROSS.format('p', 'q', 'r')} < 0 OR ({CROSS.format('p', 'q', 'r')} = 0
-           AND (r.x - p.x) * (r.x - q.x) + (r.y - p.y) * (r.y - q.y) > 0)))
-  UNION SELECT cluster, a.x, a.y FROM outermost WHERE n = 1),
+  SELECT DISTINCT month, cluster, x, y FROM edges
+  UNION SELECT month, cluster, a.x, a.y FROM outermost WHERE n = 1),
 sided AS (
   SELECT corners.*, (b.x - a.x) * (y - a.y) - (b.y - a.y) * (x - a.x) > 0 AS above
-  FROM corners JOIN outermost USING (cluster))"""
+  FROM corners JOIN outermost USING (month, cluster)),
+hull AS (
+  SELECT month, cluster, x AS slope, y AS mean,
+         CAST(row_number() OVER (PARTITION BY month, cluster ORDER BY above,
+           CASE WHEN above THEN -x ELSE x END, CASE WHEN above THEN -y ELSE y END) - 1 AS INTEGER) AS vertex
+  FROM sided)"""
 
 
 def _with(ctes: str, select: str, recursive: bool = False) -> str:
@@ -295,11 +304,10 @@ FROM clustered GROUP BY rank, country, province, slope""",
         ),
         "cluster_hull": _with(
             HULL,
-            """SELECT cluster, CAST(row_number() OVER (PARTITION BY cluster ORDER BY above,
-         CASE WHEN above THEN -x ELSE x END, CASE WHEN above THEN -y ELSE y END) - 1 AS INTEGER) AS vertex,
-       x AS slope, y AS mean FROM sided""",
+            "SELECT cluster, vertex, slope, mean FROM hull WHERE month = (SELECT max(month) FROM clustered)",
             True,
         ),
+        "cluster_hull_by_month": _with(HULL, "SELECT month, cluster, vertex, slope, mean FROM hull", True),
         "outer_join_headers": _with(
             PANEL + ", " + PLACE_LOCATED,
             f"""SELECT coalesce(h.country, v.country) AS country, coalesce(h.province, v.province) AS province,

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import add
-
 from pyspark.sql import Column, functions as F
 
 from tidemark.functions.places import is_unlocated
@@ -63,23 +60,30 @@ def edges(ring: list[tuple[float, float]]) -> list[tuple[float, float, float, fl
     return [tuple(map(float, (*p, *q))) for p, q in sides if p[1] != q[1]]
 
 
-def inside(lat: Column, lon: Column, ring: list[tuple[float, float]]) -> Column:
-    """Even-odd test: an odd number of sides lies beyond the point."""
+def inside(lat: str, lon: str, ring: list[tuple[float, float]]) -> str:
+    """Even-odd test as SQL: an odd number of sides lies beyond the point.
+
+    The box around the ring is tested first, so most rings cost four
+    comparisons. The doubled sign of the cross product decides a side without
+    a division.
+    """
 
-    def crossed(lat0: float, lon0: float, lat1: float, lon1: float) -> Column:
-        start_east, end_east = F.lit(lon0) >= lon, F.lit(lon1) >= lon
-        beyond = (F.lit(lon1) - lon) * (lat0 - lat1) >= (F.lit(lat1) - lat) * (lon0 - lon1)
-        return F.when((start_east != end_east) & (beyond == end_east), 1).otherwise(0)
+    def crossed(lat0: float, lon0: float, lat1: float, lon1: float) -> str:
+        beyond = f"({lon1}D - {lon}) * {lat0 - lat1}D >= ({lat1}D - {lat}) * {lon0 - lon1}D"
+        east = f"{lon1}D >= {lon}"
+        return f"IF(({lon0}D >= {lon}) <> ({east}) AND ({beyond}) = ({east}), 1, 0)"
 
     lats, lons = zip(*ring)
-    in_box = lat.between(float(min(lats)), float(max(lats))) & lon.between(float(min(lons)), float(max(lons)))
-    crossings = reduce(add, [crossed(*edge) for edge in edges(ring)])
-    return in_box & (crossings % 2 == 1)
+    in_box = (
+        f"{lat} BETWEEN {float(min(lats))}D AND {float(max(lats))}D"
+        f" AND {lon} BETWEEN {float(min(lons))}D AND {float(max(lons))}D"
+    )
+    crossings = " + ".join(crossed(*edge) for edge in edges(ring))
+    return f"({in_box} AND ({crossings}) % 2 = 1)"
 
 
-def continent(lat: Column, lon: Column, corrected: bool = False) -> Column:
-    """Label of the first ring that holds the point."""
-    out = F.when(is_unlocated(lat, lon), UNLOCATED)
-    for name, ring in rings(corrected):
-        out = out.when(inside(lat, lon, ring), name)
-    return out.otherwise(ELSEWHERE)
+def continent(lat: str, lon: str, corrected: bool = False) -> Column:
+    """Label of the first ring that holds the point of two double columns."""
+    tests = [f"WHEN {inside(lat, lon, ring)} THEN '{name}'" for name, ring in rings(corrected)]
+    located = F.expr(f"CASE {' '.join(tests)} ELSE '{ELSEWHERE}' END")
+    return F.when(is_unlocated(F.col(lat), F.col(lon)), UNLOCATED).otherwise(located)

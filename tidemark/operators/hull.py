@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F, types as T
 
 
 def _chain(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
@@ -29,7 +29,7 @@ def _hull(xy: pd.DataFrame) -> list[tuple[float, float]]:
     return _chain(points)[:-1] + _chain(points[::-1])[:-1]
 
 
-def convex_hull(df: DataFrame, group: str, x: str, y: str, fan_in: int = 32) -> DataFrame:
+def convex_hull(df: DataFrame, groups: Sequence[str], x: str, y: str, fan_in: int = 32) -> DataFrame:
     """Corners of the hull of each group: ``vertex`` counts them counter-clockwise.
 
     Every task first reduces what it reads to the corners so far, batch by
@@ -37,24 +37,25 @@ def convex_hull(df: DataFrame, group: str, x: str, y: str, fan_in: int = 32) ->
     tasks. The last step, one group at a time, therefore sees at most ``fan_in``
     hulls, however many points a group has.
     """
-    kind = df.schema[group].dataType.simpleString()
+    groups = list(groups)
 
     def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        so_far: dict[object, pd.DataFrame] = {}
+        so_far: dict[tuple, pd.DataFrame] = {}
         for batch in batches:
-            for name, rows in batch.groupby("group"):
+            for name, rows in batch.groupby(groups):
                 seen = pd.concat([so_far[name], rows[["x", "y"]]]) if name in so_far else rows[["x", "y"]]
                 so_far[name] = pd.DataFrame(_hull(seen), columns=["x", "y"])
         for name, xy in so_far.items():
-            yield xy.assign(group=name)[["group", "x", "y"]]
+            yield xy.assign(**dict(zip(groups, name)))[[*groups, "x", "y"]]
 
-    def close(rows: pd.DataFrame) -> pd.DataFrame:
+    def close(name: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         xy = pd.DataFrame(_hull(rows), columns=["x", "y"])
-        return xy.assign(group=rows["group"].iloc[0], vertex=range(len(xy)))[["group", "vertex", "x", "y"]]
-
-    schema = f"group {kind}, x double, y double"
-    points = df.selectExpr(f"`{group}` AS group", f"CAST(`{x}` AS double) AS x", f"CAST(`{y}` AS double) AS y")
-    reduced = points.where("x IS NOT NULL AND y IS NOT NULL").mapInPandas(corners, schema)
-    reduced = reduced.repartition(fan_in).mapInPandas(corners, schema)
-    closed = reduced.groupBy("group").applyInPandas(close, f"group {kind}, vertex int, x double, y double")
-    return closed.withColumnsRenamed({"group": group, "x": x, "y": y})
+        return xy.assign(**dict(zip(groups, name)), vertex=range(len(xy)))[[*groups, "vertex", "x", "y"]]
+
+    points = df.select(*groups, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    points = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    reduced = points.mapInPandas(corners, points.schema)
+    reduced = reduced.repartition(fan_in).mapInPandas(corners, points.schema)
+    keys, xy = points.select(*groups).schema, points.select("x", "y").schema
+    schema = T.StructType([*keys, T.StructField("vertex", T.IntegerType()), *xy])
+    return reduced.groupBy(*groups).applyInPandas(close, schema).withColumnsRenamed({"x": x, "y": y})

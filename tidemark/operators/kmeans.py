@@ -23,10 +23,10 @@ def grid_points(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
-def nearest(y: Column, centroids: Column) -> Column:
+def nearest(y: str, centroids: str) -> Column:
     """Value of the nearest centroid, the first one on a tie."""
-    distance = F.transform(centroids, lambda c: F.abs(c - y))
-    return F.element_at(centroids, F.array_position(distance, F.array_min(distance)).cast("int"))
+    ranked = f"transform({centroids}, (c, i) -> struct(abs(c - {y}) AS distance, i AS i, c AS c))"
+    return F.expr(f"array_min({ranked}).c")
 
 
 def start(points: DataFrame, group: str, ranks: Sequence[int]) -> DataFrame:
@@ -45,19 +45,21 @@ def update(points: DataFrame, state: DataFrame, group: str, k: int, small: bool)
     their members. A group is done once the mean of its centroids stays.
     """
     near = points.select(group, "steps", "y").join(hinted(state, small), group)
-    near = near.withColumn("near", nearest(F.col("y"), F.col("centroids")))
-    member = [F.col("near") == F.col("centroids")[i] for i in range(k)]
-    sums = [F.sum(F.when(m, F.col("steps")).otherwise(0).cast("decimal(18,0)")).alias(f"s{i}") for i, m in enumerate(member)]
-    sizes = [F.count(F.when(m, 1)).alias(f"n{i}") for i, m in enumerate(member)]
-    kept = [F.first(c).alias(c) for c in ("centroids", "mean", "done")]
-    moved = [F.col(f"s{i}").cast("double") / float(STEPS) / (F.col(f"n{i}") + 1) for i in range(k)]
-    level = sum(moved[1:], moved[0]) / k
-    rounds = near.groupBy(group).agg(*kept, *sums, *sizes).withColumn("_mean", level)
-    return rounds.select(
-        group,
-        F.when(F.col("done"), F.col("centroids")).otherwise(F.array(*moved)).alias("centroids"),
-        F.when(F.col("done"), F.col("mean")).otherwise(F.col("_mean")).alias("mean"),
-        (F.col("done") | F.coalesce(F.col("mean") == F.col("_mean"), F.lit(False))).alias("done"),
+    near = near.withColumn("near", nearest("y", "centroids"))
+    moved = [
+        f"CAST(sum(CAST(IF(near = centroids[{i}], steps, 0) AS DECIMAL(18, 0))) AS DOUBLE) / {float(STEPS)}D"
+        f" / (count_if(near = centroids[{i}]) + 1)"
+        for i in range(k)
+    ]
+    rounds = near.groupBy(group).agg(
+        F.first(F.struct("centroids", "mean", "done")).alias("before"), F.expr(f"array({', '.join(moved)})").alias("moved")
+    )
+    level = f"({' + '.join(f'moved[{i}]' for i in range(k))}) / {k}"
+    return rounds.selectExpr(
+        f"`{group}`",
+        "IF(before.done, before.centroids, moved) AS centroids",
+        f"IF(before.done, before.mean, {level}) AS mean",
+        f"before.done OR coalesce(before.mean = {level}, false) AS done",
     )
 
 
@@ -76,8 +78,8 @@ def fit(
     state = settle(start(points, group, ranks), "kmeans")
     small = at_most(state, SMALL_ROWS)
     step = rounds_per_write if small else 1
-    for _ in range(0, max_rounds, step):
-        for _ in range(step):
+    for rounds in range(0, max_rounds, step):
+        for _ in range(min(step, max_rounds - rounds)):
             state = update(points, state, group, k, small)
         state = settle(state, "kmeans")
         if state.where(~F.col("done")).isEmpty():
@@ -89,7 +91,7 @@ def labels(points: DataFrame, state: DataFrame, group: str) -> DataFrame:
     """Cluster of every point: the rank of its centroid among those in use, lowest first."""
     small = at_most(state, SMALL_ROWS)
     near = points.join(hinted(state.select(group, "centroids"), small), group)
-    near = near.withColumn("near", nearest(F.col("y"), F.col("centroids")))
+    near = near.withColumn("near", nearest("y", "centroids"))
     used = near.groupBy(group).agg(F.array_sort(F.collect_set("near")).alias("used"))
     return near.join(hinted(used, small), group).select(
         *points.columns, (F.array_position("used", F.col("near")) - 1).cast("int").alias("cluster")

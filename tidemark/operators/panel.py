@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def calendar(bounds: DataFrame) -> DataFrame:
@@ -46,9 +46,9 @@ def sum_by(panel: DataFrame, keys: Sequence[str], value: str = "cum") -> DataFra
     return panel.groupBy(*keys).agg(F.sum(value).alias(value))
 
 
-def on_last_day(panel: DataFrame) -> DataFrame:
-    """Rows of the latest day of the panel."""
-    return panel.where(F.col("date") == panel.agg(F.max("date")).scalar())
+def on_last_day(panel: DataFrame, last: Column | None = None) -> DataFrame:
+    """Rows of the latest day; pass ``last`` where it is known without reading the panel."""
+    return panel.where(F.col("date") == (panel.agg(F.max("date")).scalar() if last is None else last))
 
 
 def increase(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,8 +58,3 @@ def increase(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
         "_has_next", F.lead("date").over(by_day).isNotNull()
     )
     return following.where("_has_next").select(*keys, "date", (F.col("_next") - F.col("cum")).alias("inc"))
-
-
-def single_row(spark: SparkSession, **values: object) -> DataFrame:
-    """A one-row table of literals."""
-    return spark.range(1).select(*[F.lit(v).alias(k) for k, v in values.items()])

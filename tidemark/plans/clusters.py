@@ -12,14 +12,20 @@ from tidemark.plans import monthly, trends
 from tidemark.session import settle
 
 
+def _steepest(panel: DataFrame, keys: Sequence[str], k: int) -> tuple[DataFrame, list[str]]:
+    """The panel cut to the steepest places, before anything is computed per month."""
+    rows = trends.with_report(panel, trends.steepest_monthly(panel, keys, k), keys, k)
+    return rows, [*keys, "slope", "rank"]
+
+
 def steepest_means(panel: DataFrame, keys: Sequence[str], k: int = trends.STEEPEST_MONTHLY) -> DataFrame:
     """Monthly means of the steepest places, with slope and rank."""
-    return trends.with_report(monthly.mean(panel, keys), trends.steepest_monthly(panel, keys, k), keys, k)
+    return monthly.mean(*_steepest(panel, keys, k))
 
 
 def steepest_increases(panel: DataFrame, keys: Sequence[str], k: int = trends.STEEPEST_MONTHLY) -> DataFrame:
     """Monthly increases of the steepest places, with slope and rank."""
-    return trends.with_report(monthly.increase(panel, keys), trends.steepest_monthly(panel, keys, k), keys, k)
+    return monthly.increase(*_steepest(panel, keys, k))
 
 
 def by_month(
@@ -36,7 +42,6 @@ def by_month(
 
 
 def hulls(clustered: DataFrame) -> DataFrame:
-    """Hull of each cluster of the latest month in the plane of slope and mean."""
-    latest = clustered.where(F.col("month") == clustered.agg(F.max("month")).scalar())
-    points = latest.select("cluster", F.col("slope").cast("float").cast("double").alias("slope"), "mean")
-    return convex_hull(points, "cluster", "slope", "mean")
+    """Hull of each cluster of each month in the plane of slope and mean."""
+    points = clustered.select("month", "cluster", F.col("slope").cast("float").alias("slope"), "mean")
+    return convex_hull(points, ["month", "cluster"], "slope", "mean")

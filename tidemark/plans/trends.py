@@ -53,7 +53,7 @@ def continent_daily(
     """
     report = steepest_daily(panel, keys, k).select(*keys)
     located = joins.inner(locations, hinted(report, k <= SMALL_ROWS), keys)
-    labelled = located.select(*keys, continent(F.col("lat"), F.col("lon")).alias("continent"))
+    labelled = located.select(*keys, continent("lat", "lon").alias("continent"))
     rows = with_report(panel, labelled, keys, k)
     daily = increase(rows, [*keys, "continent"])
     return daily.groupBy("continent", "date").agg(F.sum("inc").alias("inc"))

@@ -36,14 +36,13 @@ def shared_dir(spark: SparkSession) -> str:
     Only a local master, where driver and executors are one process, may fall
     back to a temporary folder of this machine.
     """
-    named = spark.conf.get(CHECKPOINT_KEY, None)
-    if named:
-        return named.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
-        raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set(CHECKPOINT_KEY, made)
-    return made
+    named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
+        named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

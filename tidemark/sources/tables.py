@@ -10,8 +10,16 @@ from tidemark.operators.panel import cumulative
 MAIN_SEGMENT = "HOUSEHOLD"  # rows of this segment stand for the country itself
 
 
+# The columns read, with their types, so that no job looks for them.
+SCHEMAS = {
+    "orders": "o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
+    "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "nation": "n_nationkey INT, n_name STRING",
+}
+
+
 def table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{root}/{name}.parquet")
 
 
 def province() -> Column:
@@ -45,6 +53,10 @@ def order_counts(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def last_order_day(spark: SparkSession, root: str) -> Column:
+    return order_range(spark, root).select("end").scalar()
+
+
 def order_panel(spark: SparkSession, root: str) -> DataFrame:
     """Cumulative orders per place on every day of the order range."""
     bounds = order_range(spark, root)
@@ -75,9 +87,9 @@ def place_locations(spark: SparkSession, root: str) -> DataFrame:
     first = (
         customer_locations(spark, root)
         .groupBy("c_nationkey", "c_mktsegment")
-        .agg(F.min(F.struct("c_custkey", "lat", "lon")).alias("first"))
+        .agg(F.min_by("lat", "c_custkey").alias("lat"), F.min_by("lon", "c_custkey").alias("lon"))
     )
     nations = table(spark, root, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     return first.join(nations, F.col("c_nationkey") == F.col("n_nationkey")).select(
-        "country", province().alias("province"), F.col("first.lat").alias("lat"), F.col("first.lon").alias("lon")
+        "country", province().alias("province"), "lat", "lon"
     )

@@ -10,7 +10,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import dates
-from tidemark.functions.places import COUNTRY, LAT, LON, PLACE, PROVINCE, relabel
+from tidemark.functions.places import COUNTRY, LAT, LON, LONG_NAMES, PLACE, PROVINCE, relabel
 from tidemark.functions.regions import continent
 from tidemark.operators import joins, monthly as buckets, panel as panels, reshape, wide
 from tidemark.operators.scaling import min_max
@@ -117,7 +117,8 @@ def monthly_mean_transposed(spark: SparkSession, root: str) -> DataFrame:
 
 def most_least_affected(spark: SparkSession, root: str) -> DataFrame:
     panel = tables.order_panel(spark, root)
-    totals = panels.sum_by(panels.on_last_day(panel), ["country"])
+    last = panels.on_last_day(panel, tables.last_order_day(spark, root))
+    totals = panels.sum_by(last, ["country"])
     report = monthly.most_and_least(totals, "country", "cum", REPORT)
     means = monthly.mean_by_country(panel, PLACE)
     both = joins.inner(means, F.broadcast(report), ["country"])
@@ -125,7 +126,7 @@ def most_least_affected(spark: SparkSession, root: str) -> DataFrame:
 
 
 def total_by_country(spark: SparkSession, root: str) -> DataFrame:
-    last = panels.on_last_day(tables.order_panel(spark, root))
+    last = panels.on_last_day(tables.order_panel(spark, root), tables.last_order_day(spark, root))
     return panels.sum_by(last, ["country"]).select("country", F.col("cum").alias("total"))
 
 
@@ -145,12 +146,11 @@ def relabel_entities(spark: SparkSession, root: str) -> DataFrame:
 
 def _wide_panel(spark: SparkSession, root: str) -> DataFrame:
     """The panel with one column per day behind the four header columns."""
-    headers = [dates.header_of(d) for d in dates.days_between(*_range(spark, root))]
-    panel = tables.order_panel(spark, root).withColumn("header", dates.day_header(F.col("date")))
-    days = reshape.to_wide(panel, PLACE, "header", headers, "cum")
-    both = joins.inner(tables.place_locations(spark, root), days, PLACE)
-    head = [("province", PROVINCE), ("country", COUNTRY), ("lat", LAT), ("lon", LON)]
-    return both.select(*[F.col(a).alias(b) for a, b in head], *[wide.col(h) for h in headers])
+    start, end = _range(spark, root)
+    series = reshape.day_series(tables.order_panel(spark, root), PLACE, start, end)
+    both = joins.inner(tables.place_locations(spark, root), series, PLACE)
+    named = both.withColumnsRenamed({name: header for header, name in LONG_NAMES.items()})
+    return reshape.days_to_wide(named, start, end)
 
 
 def _wide_place() -> list:
@@ -199,12 +199,12 @@ def trend_slope_top100(spark: SparkSession, root: str) -> DataFrame:
 
 
 def continent_label(spark: SparkSession, root: str) -> DataFrame:
-    label = continent(F.col("lat"), F.col("lon")).alias("continent")
+    label = continent("lat", "lon").alias("continent")
     return tables.customer_locations(spark, root).select("c_custkey", label)
 
 
 def continent_label_corrected(spark: SparkSession, root: str) -> DataFrame:
-    label = continent(F.col("lat"), F.col("lon"), corrected=True).alias("continent")
+    label = continent("lat", "lon", corrected=True).alias("continent")
     return tables.customer_locations(spark, root).select("c_custkey", label)
 
 
@@ -260,14 +260,23 @@ def cluster_matrix(spark: SparkSession, root: str) -> DataFrame:
 
 
 def cluster_hull(spark: SparkSession, root: str) -> DataFrame:
-    return clusters.hulls(_clustered(spark, root))
+    """Hulls of the latest month only."""
+    clustered = _clustered(spark, root)
+    latest = dates.month_of(tables.last_order_day(spark, root))
+    hulls = clusters.hulls(clustered.where(F.col("month") == latest))
+    return hulls.select("cluster", "vertex", "slope", "mean")
+
+
+def cluster_hull_by_month(spark: SparkSession, root: str) -> DataFrame:
+    return clusters.hulls(_clustered(spark, root)).select(_month(), "cluster", "vertex", "slope", "mean")
 
 
 # --- joins
 
 
 def outer_join_headers(spark: SparkSession, root: str) -> DataFrame:
-    totals = panels.on_last_day(tables.order_panel(spark, root)).select(*PLACE, F.col("cum").alias("total"))
+    last = panels.on_last_day(tables.order_panel(spark, root), tables.last_order_day(spark, root))
+    totals = last.select(*PLACE, F.col("cum").alias("total"))
     joined = joins.outer(tables.place_locations(spark, root), totals, PLACE)
     return joined.select(*_place(), "lat", "lon", "total")
 
@@ -304,5 +313,6 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     kmeans_by_month,
     cluster_matrix,
     cluster_hull,
+    cluster_hull_by_month,
     outer_join_headers,
 )
