@@ -4,8 +4,12 @@ import random
 from math import floor
 
 import pytest
+from pyspark.errors import PySparkException
 
+from tidemark.functions.places import PLACE
 from tidemark.operators import kmeans
+from tidemark.plans import clusters
+from tidemark.sources import tables
 
 
 def reference_labels(values, ranks):
@@ -33,10 +37,10 @@ def reference_labels(values, ranks):
     return [used.index(c) for c in near]
 
 
-def clustered(spark, groups, ranks, **options):
+def clustered(spark, groups, ranks, fit=kmeans.fit, **options):
     rows = [(g, r, float(v)) for g, values in groups.items() for r, v in enumerate(values)]
     points = kmeans.grid_points(spark.createDataFrame(rows, "g int, rank int, v double"), "g", "v")
-    state = kmeans.fit(points, "g", ranks, **options)
+    state = fit(points, "g", ranks, **options)
     found = kmeans.labels(points, state, "g").orderBy("g", "rank").collect()
     return {g: [r.cluster for r in found if r.g == g] for g in groups}
 
@@ -45,6 +49,7 @@ def test_worked_example(spark):
     points = spark.createDataFrame([(0, 0, 0.0), (0, 1, 0.2), (0, 2, 0.9), (0, 3, 1.0)], "g int, rank int, v double")
     points = kmeans.grid_points(points, "g", "v")
     state = kmeans.fit(points, "g", (0, 3))
+    assert kmeans.fit_bounded(points, "g", (0, 3)).first().centroids == state.first().centroids
     assert state.first().centroids == pytest.approx([0.2 / 3, 1.9 / 3])
     labels = kmeans.labels(points, state, "g").orderBy("rank").collect()
     assert [r.cluster for r in labels] == [0, 0, 1, 1]
@@ -58,6 +63,7 @@ def test_random_groups(spark):
     got = clustered(spark, groups, kmeans.START_RANKS)
     assert got == {g: reference_labels(v, kmeans.START_RANKS) for g, v in groups.items()}
     assert got[12] == [0] * 50
+    assert got == clustered(spark, groups, kmeans.START_RANKS, kmeans.fit_bounded)
 
 
 def test_rounds_per_write_do_not_matter(spark):
@@ -68,9 +74,19 @@ def test_rounds_per_write_do_not_matter(spark):
     assert once == {g: reference_labels(v, (3, 9, 15)) for g, v in groups.items()}
 
 
-def test_unsettled_run_is_an_error(spark):
-    with pytest.raises(RuntimeError, match="did not settle"):
-        clustered(spark, {0: [random.Random(1).random() for _ in range(50)]}, kmeans.START_RANKS, max_rounds=1)
+@pytest.mark.parametrize("fit", [kmeans.fit, kmeans.fit_bounded])
+def test_unsettled_run_is_an_error(spark, fit):
+    values = [random.Random(i).random() for i in range(50)]
+    with pytest.raises((RuntimeError, PySparkException), match="did not settle"):
+        clustered(spark, {0: values}, kmeans.START_RANKS, fit, max_rounds=1)
+
+
+def test_long_reports_are_clustered_in_rounds(spark, root, monkeypatch):
+    panel = tables.order_panel(spark, root)
+    short = clusters.by_month(panel, PLACE)
+    monkeypatch.setattr(kmeans, "BOUNDED", 10)
+    long = clusters.by_month(panel, PLACE)
+    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect()))
 
 
 def test_ties_go_to_the_first_centroid(spark):

@@ -13,6 +13,8 @@ from tidemark.session import SMALL_ROWS, at_most, hinted, settle
 START_RANKS = (13, 39, 30, 45)
 
 STEPS = 10**12  # points lie on a grid of 1/STEPS, so that sums of points are exact
+MAX_ROUNDS = 400  # a run that needs more is an error, never a partial result
+BOUNDED = 10_000  # groups up to this length fit an array
 
 
 def grid_points(df: DataFrame, group: str, value: str) -> DataFrame:
@@ -64,7 +66,11 @@ def update(points: DataFrame, state: DataFrame, group: str, k: int, small: bool)
 
 
 def fit(
-    points: DataFrame, group: str, ranks: Sequence[int] = START_RANKS, rounds_per_write: int = 4, max_rounds: int = 400
+    points: DataFrame,
+    group: str,
+    ranks: Sequence[int] = START_RANKS,
+    rounds_per_write: int = 4,
+    max_rounds: int = MAX_ROUNDS,
 ) -> DataFrame:
     """Final centroids of every group (``centroids``, one row per group).
 
@@ -87,6 +93,35 @@ def fit(
     raise RuntimeError(f"k-means did not settle in {max_rounds} rounds")
 
 
+def fit_bounded(
+    points: DataFrame, group: str, ranks: Sequence[int] = START_RANKS, max_rounds: int = MAX_ROUNDS
+) -> DataFrame:
+    """``fit`` for groups of at most ``BOUNDED`` points: one shuffle for all rounds.
+
+    The points of a group, a report of known length, meet in one array, and the
+    rounds run over that array inside a single expression.
+    """
+    k = len(ranks)
+    started = ", ".join(f"filter(points, p -> p.rank = {r})[0].y" for r in ranks)
+    nearest_c = "array_min(transform(s.c, (c, i) -> struct(abs(c - p.y) AS distance, i AS i, c AS c))).c"
+    members = f"transform(points, p -> struct(p.steps AS steps, {nearest_c} AS near))"
+    moved = f"""transform(array({members}), near -> transform(s.c, c ->
+        aggregate(filter(near, p -> p.near = c), 0L, (total, p) -> total + p.steps, total -> CAST(total AS DOUBLE))
+          / {float(STEPS)}D / (size(filter(near, p -> p.near = c)) + 1)))[0]"""
+    level = f"({' + '.join(f'm[{i}]' for i in range(k))}) / {k}"
+    step = f"""transform(array({moved}), m -> named_struct(
+        'c', m, 'mean', {level}, 'done', coalesce({level} = s.mean, false)))[0]"""
+    rounds = f"""aggregate(sequence(1, {max_rounds}),
+        named_struct('c', array({started}), 'mean', CAST(NULL AS DOUBLE), 'done', false),
+        (s, r) -> IF(s.done, s, {step}))"""
+    gathered = points.groupBy(group).agg(F.collect_list(F.struct("rank", "steps", "y")).alias("points"))
+    last = gathered.select(group, F.expr(rounds).alias("last"))
+    unsettled = F.raise_error(F.lit(f"k-means did not settle in {max_rounds} rounds"))
+    return settle(
+        last.select(group, F.when(F.col("last.done"), F.col("last.c")).otherwise(unsettled).alias("centroids")), "kmeans"
+    )
+
+
 def labels(points: DataFrame, state: DataFrame, group: str) -> DataFrame:
     """Cluster of every point: the rank of its centroid among those in use, lowest first."""
     small = at_most(state, SMALL_ROWS)

@@ -34,10 +34,15 @@ def by_month(
     k: int = trends.STEEPEST_MONTHLY,
     ranks: Sequence[int] = kmeans.START_RANKS,
 ) -> DataFrame:
-    """Cluster of each of the steepest places in each month, by its scaled mean."""
+    """Cluster of each of the steepest places in each month, by its scaled mean.
+
+    A month has at most ``k`` points, so a short report is clustered month by
+    month and a long one in rounds over all of its points.
+    """
     means = settle(steepest_means(panel, keys, k), "means")
     points = settle(kmeans.grid_points(means, "month", "mean"), "points")
-    state = kmeans.fit(points, "month", ranks)
+    fit = kmeans.fit_bounded if k <= kmeans.BOUNDED else kmeans.fit
+    state = fit(points, "month", ranks)
     return kmeans.labels(points, state, "month").select(*keys, "rank", "slope", "month", "mean", "scaled", "cluster")
 
 
