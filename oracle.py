@@ -185,6 +185,32 @@ hull AS (
   FROM sided)"""
 
 
+SHIPMENTS = """days AS (
+  SELECT CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY))
+         AS DATE) AS day FROM lineitem),
+counts AS (
+  SELECT n_name AS country, CAST(l_shipdate AS DATE) AS day, count(*) AS n
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey GROUP BY ALL),
+panel AS (
+  SELECT p.country, d.day,
+         CAST(sum(coalesce(c.n, 0)) OVER (PARTITION BY p.country ORDER BY d.day) AS BIGINT) AS cum
+  FROM (SELECT DISTINCT country FROM counts) p CROSS JOIN days d
+  LEFT JOIN counts c ON c.country = p.country AND c.day = d.day), """ + _monthly("panel", "country")
+
+
+def _events(keys: str) -> str:
+    """Increases per day of the events: the counts of the next day."""
+    same = " AND ".join(f"c.{k.strip()} = p.{k.strip()}" for k in keys.split(","))
+    return f"""days AS (
+  SELECT CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM events),
+counts AS (SELECT {keys}, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY ALL),
+increases AS (
+  SELECT {', '.join('p.' + k.strip() for k in keys.split(','))}, d.day, coalesce(c.n, 0) AS inc
+  FROM (SELECT DISTINCT {keys} FROM counts) p CROSS JOIN (SELECT day FROM days WHERE day < (SELECT max(day) FROM days)) d
+  LEFT JOIN counts c ON {same} AND c.day = d.day + 1)"""
+
+
 def _with(ctes: str, select: str, recursive: bool = False) -> str:
     return f"WITH {'RECURSIVE ' if recursive else ''}{ctes}\n{select}"
 
@@ -279,6 +305,9 @@ FROM c_means JOIN c_ends USING (country, m)""",
             LOCATED + ", " + _labels("located", "c_custkey", corrected=True),
             "SELECT c_custkey, continent FROM labelled",
         ),
+        "continent_label_sql": _with(
+            LOCATED + ", " + _labels("located", "c_custkey"), "SELECT c_custkey, continent FROM labelled"
+        ),
         "continent_daily_total": _with(CONTINENTS, f"SELECT continent, {day}, inc FROM continent_days"),
         "continent_weekly_stats": _with(
             CONTINENTS,
@@ -302,6 +331,14 @@ FROM c_means JOIN c_ends USING (country, m)""",
 FROM clustered GROUP BY rank, country, province, slope""",
             True,
         ),
+        "cluster_text": _with(
+            CLUSTERS
+            + """, texts AS (
+  SELECT month, '[' || string_agg(CAST(cluster AS VARCHAR), ', ' ORDER BY rank) || ']' AS cluster_id
+  FROM clustered GROUP BY month)""",
+            "SELECT month, cluster_id, rank, cluster FROM clustered JOIN texts USING (month)",
+            True,
+        ),
         "cluster_hull": _with(
             HULL,
             "SELECT cluster, vertex, slope, mean FROM hull WHERE month = (SELECT max(month) FROM clustered)",
@@ -315,4 +352,27 @@ FROM clustered GROUP BY rank, country, province, slope""",
 FROM place_located h FULL JOIN (SELECT * FROM panel WHERE {last}) v
   ON h.country = v.country AND h.province = v.province""",
         ),
+        "shipment_monthly_mean": _with(SHIPMENTS, "SELECT country, month, mean FROM means"),
+        "event_trend_top100": _with(
+            _events("event_type, user_id")
+            + """, indexed AS (
+  SELECT event_type, user_id, CAST(inc AS HUGEINT) AS y,
+         CAST(row_number() OVER (PARTITION BY event_type, user_id ORDER BY day) - 1 AS HUGEINT) AS x FROM increases),
+slopes AS (
+  SELECT event_type, user_id,
+         CAST(count(*) * sum(x * y) - sum(x) * sum(y) AS DOUBLE)
+           / CAST(count(*) * sum(x * x) - sum(x) * sum(x) AS DOUBLE) AS slope
+  FROM indexed GROUP BY event_type, user_id)""",
+            """SELECT CAST(row_number() OVER (ORDER BY slope DESC, event_type, user_id) - 1 AS INTEGER) AS rank,
+       event_type, user_id, CAST(slope AS FLOAT) AS slope FROM slopes QUALIFY rank < 100""",
+        ),
+        "event_weekly_stats": _with(
+            _events("event_type"),
+            """SELECT event_type, week, CAST(sum(inc) AS DOUBLE) / count(*) AS mean,
+       sqrt(CAST(count(*) * sum(inc * inc) - sum(inc) * sum(inc) AS DOUBLE)) / count(*) AS std,
+       max(inc) AS max, min(inc) AS min
+FROM (SELECT event_type, inc,
+             CAST(date_diff('day', (SELECT min(day) FROM days), day) // 7 + 1 AS INTEGER) AS week FROM increases)
+GROUP BY event_type, week""",
+        ),
     }

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.lists import list_text, parse_list
 from tidemark.operators import kmeans
 from tidemark.operators.hull import convex_hull
 from tidemark.plans import monthly, trends
@@ -46,6 +47,17 @@ def by_month(
     return kmeans.labels(points, state, "month").select(*keys, "rank", "slope", "month", "mean", "scaled", "cluster")
 
 
+def texts(clustered: DataFrame) -> DataFrame:
+    """The clusters of each month as one text, in the order of the ranks."""
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "cluster"))).getField("cluster")
+    return clustered.groupBy("month").agg(list_text(ranked).alias("cluster_id"))
+
+
+def parsed(by_text: DataFrame) -> DataFrame:
+    """One row per rank and month again, out of those texts."""
+    return by_text.select("*", F.posexplode(parse_list(F.col("cluster_id"))).alias("rank", "cluster"))
+
+
 def hulls(clustered: DataFrame) -> DataFrame:
     """Hull of each cluster of each month in the plane of slope and mean."""
     points = clustered.select("month", "cluster", F.col("slope").cast("float").alias("slope"), "mean")

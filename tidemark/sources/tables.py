@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.places import PLACE
@@ -15,6 +17,9 @@ SCHEMAS = {
     "orders": "o_custkey BIGINT, o_orderdate TIMESTAMP_NTZ",
     "customer": "c_custkey BIGINT, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
     "nation": "n_nationkey INT, n_name STRING",
+    "supplier": "s_suppkey BIGINT, s_nationkey INT",
+    "lineitem": "l_suppkey BIGINT, l_shipdate TIMESTAMP_NTZ",
+    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
 }
 
 
@@ -26,10 +31,18 @@ def province() -> Column:
     return F.when(F.col("c_mktsegment") != MAIN_SEGMENT, F.col("c_mktsegment"))
 
 
+def day_range(facts: DataFrame, when: str) -> DataFrame:
+    """One row with the first and the last day of ``facts``; reads one column."""
+    day = F.col(when).cast("date")
+    return facts.agg(F.min(day).alias("start"), F.max(day).alias("end"))
+
+
+def _panel(counts: DataFrame, keys: Sequence[str], bounds: DataFrame) -> DataFrame:
+    return cumulative(counts, keys, bounds.select("start").scalar(), bounds.select("end").scalar())
+
+
 def order_range(spark: SparkSession, root: str) -> DataFrame:
-    """One row with the first and the last day of the orders."""
-    day = F.col("o_orderdate").cast("date")
-    return table(spark, root, "orders").agg(F.min(day).alias("start"), F.max(day).alias("end"))
+    return day_range(table(spark, root, "orders"), "o_orderdate")
 
 
 def order_counts(spark: SparkSession, root: str) -> DataFrame:
@@ -59,9 +72,29 @@ def last_order_day(spark: SparkSession, root: str) -> Column:
 
 def order_panel(spark: SparkSession, root: str) -> DataFrame:
     """Cumulative orders per place on every day of the order range."""
-    bounds = order_range(spark, root)
-    start, end = bounds.select("start").scalar(), bounds.select("end").scalar()
-    return cumulative(order_counts(spark, root), PLACE, start, end)
+    return _panel(order_counts(spark, root), PLACE, order_range(spark, root))
+
+
+def shipment_panel(spark: SparkSession, root: str) -> DataFrame:
+    """Cumulative shipments per country of the supplier on every day of the shipping range."""
+    items = table(spark, root, "lineitem")
+    shipped = items.select("l_suppkey", F.col("l_shipdate").cast("date").alias("date"))
+    suppliers = table(spark, root, "supplier")
+    nations = table(spark, root, "nation").select("n_nationkey", F.col("n_name").alias("country"))
+    per_day = (
+        shipped.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .groupBy("s_nationkey", "date")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = per_day.join(nations, F.col("s_nationkey") == F.col("n_nationkey")).select("country", "date", "n")
+    return _panel(counts, ["country"], day_range(items, "l_shipdate"))
+
+
+def event_panel(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Cumulative events per user, type or both on every day of the event range."""
+    events = table(spark, root, "events")
+    counts = events.groupBy(*keys, F.col("ts").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+    return _panel(counts, keys, day_range(events, "ts"))
 
 
 def customer_locations(spark: SparkSession, root: str) -> DataFrame:

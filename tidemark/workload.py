@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark.functions import dates
 from tidemark.functions.places import COUNTRY, LAT, LON, LONG_NAMES, PLACE, PROVINCE, relabel
 from tidemark.functions.regions import continent
+from tidemark.functions.sql import CONTINENT_FUNCTION, register_continent
 from tidemark.operators import joins, monthly as buckets, panel as panels, reshape, wide
 from tidemark.operators.scaling import min_max
 from tidemark.operators.weekly import weekly_stats
@@ -208,6 +209,13 @@ def continent_label_corrected(spark: SparkSession, root: str) -> DataFrame:
     return tables.customer_locations(spark, root).select("c_custkey", label)
 
 
+def continent_label_sql(spark: SparkSession, root: str) -> DataFrame:
+    """The label as a function of SQL text."""
+    register_continent(spark)
+    text = f"SELECT c_custkey, {CONTINENT_FUNCTION}(lat, lon) AS continent FROM {{located}}"
+    return spark.sql(text, located=tables.customer_locations(spark, root))
+
+
 def _continent_daily(spark: SparkSession, root: str) -> DataFrame:
     return trends.continent_daily(tables.order_panel(spark, root), tables.place_locations(spark, root), PLACE)
 
@@ -259,6 +267,12 @@ def cluster_matrix(spark: SparkSession, root: str) -> DataFrame:
     return reshape.to_wide(rows, ["rank", "country", "province", "slope"], "label", labels, "cluster")
 
 
+def cluster_text(spark: SparkSession, root: str) -> DataFrame:
+    """The text of each month next to the clusters read back from it."""
+    rows = clusters.parsed(clusters.texts(_clustered(spark, root)))
+    return rows.select(_month(), "cluster_id", "rank", "cluster")
+
+
 def cluster_hull(spark: SparkSession, root: str) -> DataFrame:
     """Hulls of the latest month only."""
     clustered = _clustered(spark, root)
@@ -271,6 +285,22 @@ def cluster_hull_by_month(spark: SparkSession, root: str) -> DataFrame:
     return clusters.hulls(_clustered(spark, root)).select(_month(), "cluster", "vertex", "slope", "mean")
 
 
+# --- the same questions on other tables
+
+
+def shipment_monthly_mean(spark: SparkSession, root: str) -> DataFrame:
+    return monthly.mean(tables.shipment_panel(spark, root), ["country"]).select("country", _month(), "mean")
+
+
+def event_trend_top100(spark: SparkSession, root: str) -> DataFrame:
+    keys = ["event_type", "user_id"]
+    return trends.steepest_daily(tables.event_panel(spark, root, keys), keys).select("rank", *keys, _slope())
+
+
+def event_weekly_stats(spark: SparkSession, root: str) -> DataFrame:
+    return weekly_stats(panels.increase(tables.event_panel(spark, root, ["event_type"]), ["event_type"]), "event_type")
+
+
 # --- joins
 
 
@@ -304,6 +334,7 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     trend_slope_top100,
     continent_label,
     continent_label_corrected,
+    continent_label_sql,
     continent_daily_total,
     continent_weekly_stats,
     continent_weekly_min_size,
@@ -312,7 +343,11 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     minmax_scaled,
     kmeans_by_month,
     cluster_matrix,
+    cluster_text,
     cluster_hull,
     cluster_hull_by_month,
     outer_join_headers,
+    shipment_monthly_mean,
+    event_trend_top100,
+    event_weekly_stats,
 )
