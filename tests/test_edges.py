@@ -153,3 +153,13 @@ def test_calendar_is_numbered_and_whole(spark):
     days = panels.calendar(bounds).orderBy("idx").collect()
     assert len(days) == 666 and tuple(days[0]) == (0, date(2020, 1, 22)) and days[-1].date == date(2021, 11, 17)
     assert len(dates.months_between(date(2020, 1, 22), date(2021, 11, 17))) == 23
+
+
+def test_calendar_crosses_clock_changes(spark):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        bounds = spark.createDataFrame([(date(2020, 1, 22), date(2021, 11, 17))], "start date, end date")
+        assert panels.calendar(bounds).select("date").distinct().count() == 666
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)

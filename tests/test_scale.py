@@ -74,8 +74,9 @@ def test_slopes_need_no_window_and_no_second_shuffle(spark, root):
     assert slopes.count("Window") == panel.count("Window")
 
 
-def test_continents_are_one_projection(spark, root):
-    text = plan(workload.continent_label(spark, root))
+@pytest.mark.parametrize("query", [workload.continent_label, workload.continent_label_sql])
+def test_continents_are_one_projection(spark, root, query):
+    text = plan(query(spark, root))
     assert "Exchange" not in text and "Join" not in text and "Python" not in text
 
 
