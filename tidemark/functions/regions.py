@@ -64,22 +64,23 @@ def inside(lat: str, lon: str, ring: list[tuple[float, float]]) -> str:
     """Even-odd test as SQL: an odd number of sides lies beyond the point.
 
     The box around the ring is tested first, so most rings cost four
-    comparisons. The doubled sign of the cross product decides a side without
-    a division.
+    comparisons. The sides are one constant array: written out side by side
+    they would make a method too long for the JVM to compile. The signs of two
+    products decide a side without a division.
     """
-
-    def crossed(lat0: float, lon0: float, lat1: float, lon1: float) -> str:
-        beyond = f"({lon1}D - {lon}) * {lat0 - lat1}D >= ({lat1}D - {lat}) * {lon0 - lon1}D"
-        east = f"{lon1}D >= {lon}"
-        return f"IF(({lon0}D >= {lon}) <> ({east}) AND ({beyond}) = ({east}), 1, 0)"
-
     lats, lons = zip(*ring)
     in_box = (
         f"{lat} BETWEEN {float(min(lats))}D AND {float(max(lats))}D"
         f" AND {lon} BETWEEN {float(min(lons))}D AND {float(max(lons))}D"
     )
-    crossings = " + ".join(crossed(*edge) for edge in edges(ring))
-    return f"({in_box} AND ({crossings}) % 2 = 1)"
+    fields = ("lat0", "lon0", "lat1", "lon1")
+    sides = [", ".join(f"'{f}', {v}D" for f, v in zip(fields, edge)) for edge in edges(ring)]
+    constant = ", ".join(f"named_struct({side})" for side in sides)
+    crossed = (
+        f"(s.lon0 >= {lon}) <> (s.lon1 >= {lon})"
+        f" AND ((s.lon1 - {lon}) * (s.lat0 - s.lat1) >= (s.lat1 - {lat}) * (s.lon0 - s.lon1)) = (s.lon1 >= {lon})"
+    )
+    return f"({in_box} AND size(filter(array({constant}), s -> {crossed})) % 2 = 1)"
 
 
 def continent(lat: str, lon: str, corrected: bool = False) -> Column:
