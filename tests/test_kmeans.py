@@ -37,19 +37,30 @@ def reference_labels(values, ranks):
     return [used.index(c) for c in near]
 
 
-def clustered(spark, groups, ranks, fit=kmeans.fit, **options):
+def points_of(spark, groups, bounded=False):
     rows = [(g, r, float(v)) for g, values in groups.items() for r, v in enumerate(values)]
-    points = kmeans.grid_points(spark.createDataFrame(rows, "g int, rank int, v double"), "g", "v")
-    state = fit(points, "g", ranks, **options)
-    found = kmeans.labels(points, state, "g").orderBy("g", "rank").collect()
+    return kmeans.grid_points(spark.createDataFrame(rows, "g int, rank int, v double"), "g", "v", bounded)
+
+
+def by_group(groups, df):
+    found = df.orderBy("g", "rank").collect()
     return {g: [r.cluster for r in found if r.g == g] for g in groups}
 
 
+def clustered(spark, groups, ranks, **options):
+    points = points_of(spark, groups)
+    return by_group(groups, kmeans.labels(points, kmeans.fit(points, "g", ranks, **options), "g"))
+
+
+def clustered_bounded(spark, groups, ranks, **options):
+    return by_group(groups, kmeans.cluster_bounded(points_of(spark, groups, True), "g", ranks, **options))
+
+
 def test_worked_example(spark):
     points = spark.createDataFrame([(0, 0, 0.0), (0, 1, 0.2), (0, 2, 0.9), (0, 3, 1.0)], "g int, rank int, v double")
     points = kmeans.grid_points(points, "g", "v")
     state = kmeans.fit(points, "g", (0, 3))
-    assert kmeans.fit_bounded(points, "g", (0, 3)).first().centroids == state.first().centroids
+    assert [r.cluster for r in kmeans.cluster_bounded(points, "g", (0, 3)).orderBy("rank").collect()] == [0, 0, 1, 1]
     assert state.first().centroids == pytest.approx([0.2 / 3, 1.9 / 3])
     labels = kmeans.labels(points, state, "g").orderBy("rank").collect()
     assert [r.cluster for r in labels] == [0, 0, 1, 1]
@@ -63,7 +74,7 @@ def test_random_groups(spark):
     got = clustered(spark, groups, kmeans.START_RANKS)
     assert got == {g: reference_labels(v, kmeans.START_RANKS) for g, v in groups.items()}
     assert got[12] == [0] * 50
-    assert got == clustered(spark, groups, kmeans.START_RANKS, kmeans.fit_bounded)
+    assert got == clustered_bounded(spark, groups, kmeans.START_RANKS)
 
 
 def test_rounds_per_write_do_not_matter(spark):
@@ -74,11 +85,11 @@ def test_rounds_per_write_do_not_matter(spark):
     assert once == {g: reference_labels(v, (3, 9, 15)) for g, v in groups.items()}
 
 
-@pytest.mark.parametrize("fit", [kmeans.fit, kmeans.fit_bounded])
-def test_unsettled_run_is_an_error(spark, fit):
+@pytest.mark.parametrize("run", [clustered, clustered_bounded])
+def test_unsettled_run_is_an_error(spark, run):
     values = [random.Random(i).random() for i in range(50)]
     with pytest.raises((RuntimeError, PySparkException), match="did not settle"):
-        clustered(spark, {0: values}, kmeans.START_RANKS, fit, max_rounds=1)
+        run(spark, {0: values}, kmeans.START_RANKS, max_rounds=1)
 
 
 def test_long_reports_are_clustered_in_rounds(spark, root, monkeypatch):

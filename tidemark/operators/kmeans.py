@@ -17,18 +17,20 @@ MAX_ROUNDS = 400  # a run that needs more is an error, never a partial result
 BOUNDED = 10_000  # groups up to this length fit an array
 
 
-def grid_points(df: DataFrame, group: str, value: str) -> DataFrame:
+def grid_points(df: DataFrame, group: str, value: str, bounded: bool = False) -> DataFrame:
     """Add ``y``: the value scaled to 0..1 within its group, on the grid."""
     steps = F.floor(F.col("scaled") * float(STEPS) + 0.5).cast("bigint")
-    return min_max(df, group, value).withColumn("steps", steps).withColumn(
-        "y", F.col("steps").cast("double") / float(STEPS)
-    )
+    scaled = min_max(df, group, value, bounded=bounded).withColumn("steps", steps)
+    return scaled.withColumn("y", F.col("steps").cast("double") / float(STEPS))
+
+
+def _nearest(y: str, centroids: str) -> str:
+    return f"array_min(transform({centroids}, (c, i) -> struct(abs(c - {y}) AS distance, i AS i, c AS c))).c"
 
 
 def nearest(y: str, centroids: str) -> Column:
     """Value of the nearest centroid, the first one on a tie."""
-    ranked = f"transform({centroids}, (c, i) -> struct(abs(c - {y}) AS distance, i AS i, c AS c))"
-    return F.expr(f"array_min({ranked}).c")
+    return F.expr(_nearest(y, centroids))
 
 
 def start(points: DataFrame, group: str, ranks: Sequence[int]) -> DataFrame:
@@ -93,18 +95,18 @@ def fit(
     raise RuntimeError(f"k-means did not settle in {max_rounds} rounds")
 
 
-def fit_bounded(
+def cluster_bounded(
     points: DataFrame, group: str, ranks: Sequence[int] = START_RANKS, max_rounds: int = MAX_ROUNDS
 ) -> DataFrame:
-    """``fit`` for groups of at most ``BOUNDED`` points: one shuffle for all rounds.
+    """``fit`` and ``labels`` for groups of at most ``BOUNDED`` points, in one shuffle and without a job of its own.
 
     The points of a group, a report of known length, meet in one array, and the
     rounds run over that array inside a single expression.
     """
     k = len(ranks)
+    others = [c for c in points.columns if c != group]
     started = ", ".join(f"filter(points, p -> p.rank = {r})[0].y" for r in ranks)
-    nearest_c = "array_min(transform(s.c, (c, i) -> struct(abs(c - p.y) AS distance, i AS i, c AS c))).c"
-    members = f"transform(points, p -> struct(p.steps AS steps, {nearest_c} AS near))"
+    members = f"transform(points, p -> struct(p.steps AS steps, {_nearest('p.y', 's.c')} AS near))"
     moved = f"""transform(array({members}), near -> transform(s.c, c ->
         aggregate(filter(near, p -> p.near = c), 0L, (total, p) -> total + p.steps, total -> CAST(total AS DOUBLE))
           / {float(STEPS)}D / (size(filter(near, p -> p.near = c)) + 1)))[0]"""
@@ -114,12 +116,16 @@ def fit_bounded(
     rounds = f"""aggregate(sequence(1, {max_rounds}),
         named_struct('c', array({started}), 'mean', CAST(NULL AS DOUBLE), 'done', false),
         (s, r) -> IF(s.done, s, {step}))"""
-    gathered = points.groupBy(group).agg(F.collect_list(F.struct("rank", "steps", "y")).alias("points"))
-    last = gathered.select(group, F.expr(rounds).alias("last"))
+    gathered = points.groupBy(group).agg(F.collect_list(F.struct(*others)).alias("points"))
+    last = gathered.select(group, "points", F.expr(rounds).alias("last"))
     unsettled = F.raise_error(F.lit(f"k-means did not settle in {max_rounds} rounds"))
-    return settle(
-        last.select(group, F.when(F.col("last.done"), F.col("last.c")).otherwise(unsettled).alias("centroids")), "kmeans"
+    settled = last.select(
+        group, "points", F.when(F.col("last.done"), F.col("last.c")).otherwise(unsettled).alias("centroids")
     )
+    used = f"array_sort(array_distinct(transform(points, p -> {_nearest('p.y', 'centroids')})))"
+    rows = settled.select(group, "centroids", F.expr(used).alias("used"), F.inline("points"))
+    cluster = F.array_position("used", nearest("y", "centroids")) - 1
+    return rows.select(*points.columns, cluster.cast("int").alias("cluster"))
 
 
 def labels(points: DataFrame, state: DataFrame, group: str) -> DataFrame:

@@ -40,11 +40,14 @@ def by_month(
     A month has at most ``k`` points, so a short report is clustered month by
     month and a long one in rounds over all of its points.
     """
-    means = settle(steepest_means(panel, keys, k), "means")
-    points = settle(kmeans.grid_points(means, "month", "mean"), "points")
-    fit = kmeans.fit_bounded if k <= kmeans.BOUNDED else kmeans.fit
-    state = fit(points, "month", ranks)
-    return kmeans.labels(points, state, "month").select(*keys, "rank", "slope", "month", "mean", "scaled", "cluster")
+    means = steepest_means(panel, keys, k)
+    if k <= kmeans.BOUNDED:
+        points = kmeans.grid_points(means, "month", "mean", bounded=True)
+        clustered = kmeans.cluster_bounded(points, "month", ranks)
+    else:
+        points = settle(kmeans.grid_points(settle(means, "means"), "month", "mean"), "points")
+        clustered = kmeans.labels(points, kmeans.fit(points, "month", ranks), "month")
+    return clustered.select(*keys, "rank", "slope", "month", "mean", "scaled", "cluster")
 
 
 def texts(clustered: DataFrame) -> DataFrame:

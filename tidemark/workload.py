@@ -248,7 +248,7 @@ def top50_monthly_increase(spark: SparkSession, root: str) -> DataFrame:
 
 def minmax_scaled(spark: SparkSession, root: str) -> DataFrame:
     means = clusters.steepest_means(tables.order_panel(spark, root), PLACE)
-    return min_max(means, "month", "mean").select(*_place(), _month(), "scaled")
+    return min_max(means, "month", "mean", bounded=True).select(*_place(), _month(), "scaled")
 
 
 def _clustered(spark: SparkSession, root: str) -> DataFrame:
