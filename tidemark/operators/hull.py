@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections import defaultdict
+from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -21,15 +22,15 @@ def _chain(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return kept
 
 
-def _hull(xy: pd.DataFrame) -> list[tuple[float, float]]:
+def _hull(points: Iterable[tuple[float, float]]) -> list[tuple[float, float]]:
     """Corners counter-clockwise from the leftmost; fewer than three points stay as they are."""
-    points = sorted(set(zip(xy["x"], xy["y"])))
-    if len(points) < 3:
-        return points
-    return _chain(points)[:-1] + _chain(points[::-1])[:-1]
+    ordered = sorted(set(points))
+    if len(ordered) < 3:
+        return ordered
+    return _chain(ordered)[:-1] + _chain(ordered[::-1])[:-1]
 
 
-def convex_hull(df: DataFrame, groups: Sequence[str], x: str, y: str, fan_in: int = 32) -> DataFrame:
+def convex_hull(df: DataFrame, groups: Sequence[str], x: str, y: str, fan_in: int = 16) -> DataFrame:
     """Corners of the hull of each group: ``vertex`` counts them counter-clockwise.
 
     Every task first reduces what it reads to the corners so far, batch by
@@ -40,17 +41,19 @@ def convex_hull(df: DataFrame, groups: Sequence[str], x: str, y: str, fan_in: in
     groups = list(groups)
 
     def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        so_far: dict[tuple, pd.DataFrame] = {}
+        so_far: dict[tuple, list[tuple[float, float]]] = defaultdict(list)
         for batch in batches:
-            for name, rows in batch.groupby(groups):
-                seen = pd.concat([so_far[name], rows[["x", "y"]]]) if name in so_far else rows[["x", "y"]]
-                so_far[name] = pd.DataFrame(_hull(seen), columns=["x", "y"])
-        for name, xy in so_far.items():
-            yield xy.assign(**dict(zip(groups, name)))[[*groups, "x", "y"]]
+            touched = set()
+            for *name, x, y in batch.itertuples(index=False, name=None):
+                so_far[tuple(name)].append((x, y))
+                touched.add(tuple(name))
+            so_far.update({name: _hull(so_far[name]) for name in touched})
+        rows = [(*name, x, y) for name, seen in so_far.items() for x, y in seen]
+        yield pd.DataFrame(rows, columns=[*groups, "x", "y"])
 
     def close(name: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        xy = pd.DataFrame(_hull(rows), columns=["x", "y"])
-        return xy.assign(**dict(zip(groups, name)), vertex=range(len(xy)))[[*groups, "vertex", "x", "y"]]
+        closed = [(*name, nr, x, y) for nr, (x, y) in enumerate(_hull(zip(rows["x"], rows["y"])))]
+        return pd.DataFrame(closed, columns=[*groups, "vertex", "x", "y"])
 
     points = df.select(*groups, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
     points = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
