@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import sys
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+# The functions below travel with the job, so executors need not have the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _chain(points: list[tuple[float, float]]) -> list[tuple[float, float]]:
     """Points of a left-to-right (or right-to-left) sweep that only turn left."""
