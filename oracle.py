@@ -89,7 +89,11 @@ PLACE_LOCATED = LOCATED + f""", place_located AS (
 
 
 def _labels(source: str, keys: str, corrected: bool = False) -> str:
-    """Continent of every row of ``source`` by counting the sides beyond it."""
+    """Continent of every row of ``source`` by counting the sides beyond it.
+
+    A point level with a corner counts that corner as beyond (>=), so that a
+    point on a border that runs along a longitude belongs to one side only.
+    """
     priority: dict[str, int] = {}
     rows = []
     for nr, (name, ring) in enumerate(rings(corrected)):
@@ -102,7 +106,7 @@ def _labels(source: str, keys: str, corrected: bool = False) -> str:
     {sides}),
 hits AS (
   SELECT {keys}, name, priority FROM {source} JOIN sides
-    ON ((lo0 > lon) <> (lo1 > lon)) AND lat < (la1 - la0) * (lon - lo0) / (lo1 - lo0) + la0
+    ON ((lo0 >= lon) <> (lo1 >= lon)) AND lat < (la1 - la0) * (lon - lo0) / (lo1 - lo0) + la0
   GROUP BY {keys}, name, priority, ring HAVING count(*) % 2 = 1),
 best AS (SELECT {keys}, arg_min(name, priority) AS name FROM hits GROUP BY {keys}),
 labelled AS (

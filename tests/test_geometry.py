@@ -43,6 +43,11 @@ def test_known_places(spark):
     assert honolulu.select(continent("lat", "lon", corrected=True)).first()[0] == "America"
 
 
+def test_a_point_on_a_western_border_lies_outside(spark):
+    points = spark.createDataFrame([(67.85, -168.75), (67.85, -168.74)], "lat double, lon double")
+    assert [r[0] for r in points.select(continent("lat", "lon")).collect()] == ["Oceania", "America"]
+
+
 def test_rings_are_complete():
     assert len(rings()) == len(RINGS) + len(AS_STORED) == 11
     assert sum(len(ring) for _, ring in rings()) == 97

@@ -66,7 +66,8 @@ def inside(lat: str, lon: str, ring: list[tuple[float, float]]) -> str:
     The box around the ring is tested first, so most rings cost four
     comparisons. The sides are one constant array: written out side by side
     they would make a method too long for the JVM to compile. The signs of two
-    products decide a side without a division.
+    products decide a side without a division. A corner level with the point
+    counts as beyond it (>=), which settles points on a border along a longitude.
     """
     lats, lons = zip(*ring)
     in_box = (
