@@ -1,0 +1,86 @@
+from collections import Counter, defaultdict
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import mixing, queries
+
+
+def test_targets():
+    assert mixing.targets([100, 100, 100]) == [200, Fraction(500, 3), Fraction(250, 3)]
+    assert mixing.targets([0, 10]) == [0, 15] and mixing.targets([0]) == [0] and mixing.targets([]) == []
+    sizes = [7, 1, 90, 4, 4, 30, 1000]
+    got = mixing.targets(sizes)
+    assert sum(got) == Fraction(3, 2) * sum(sizes) and all(t <= 2 * s for t, s in zip(got, sizes))
+    free = [(t, w) for t, s, w in zip(got, sizes, [5, 2, 1, 5, 2, 1, 5]) if t < 2 * s]
+    assert len({t / w for t, w in free}) <= 1
+
+
+def test_words(spark):
+    table = spark.createDataFrame([(None,), ("",), (" a\tb\x0bc\u00a0d\n",), ("x " * 100_000,)], "text string")
+    assert [r[0] for r in table.select(mixing.words("text")).collect()] == [0, 0, 3, 100_000]
+
+
+def mixed(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, source string, size long, block string, rank double, chance string")
+    return mixing.mix(docs, F.col("size"))
+
+
+def test_balanced(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 50)
+    rows = [(i, "abc"[min(2, i % 5)], 1 + i * i % 97, "b", 1.5, None) for i in range(2_000)]
+    rows += [(None, None, 3, "b", 2.0, "c")] * 40 + [(7, "b", 11, None, None, None)] * 500 + [(9, "zero", 0, "", 0.0, "")] * 3
+    got = mixed(spark, rows).collect()
+    assert len(got) == len(rows)
+    words, copies, sizes, docs, target = Counter(), Counter(), Counter(), Counter(), {}
+    for r in got:
+        words[r.source] += r.copies * r.size
+        copies[r.source] += r.copies
+        sizes[r.source] += r.size
+        docs[r.source] += 1
+        target[r.source] = r.target
+        assert 0 <= r.copies <= 2 and r.row.size == r.size
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    assert [target[s] for s in order] == [float(t) for t in mixing.targets([sizes[s] for s in order])]
+    for s in order:
+        assert abs(words[s] - target[s]) <= 97
+        assert abs(copies[s] - docs[s] * target[s] / max(1, sizes[s])) <= 2
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "13")
+    again = mixed(spark, rows[::-1]).collect()
+    spark.conf.set("spark.sql.shuffle.partitions", old)
+    key = lambda r: (str(r.row), r.copies)
+    assert Counter(map(key, again)) == Counter(map(key, got))
+
+
+def test_chances_are_kept():
+    import random
+
+    hits = 0
+    for seed in range(4_000):
+        rng = random.Random(seed)
+        chances, sizes = [0.2, 0.5, 0.7], [3.0, 1.0, 8.0]
+        while len([p for p in chances if 0 < p < 1]) > 2:
+            chances = mixing._step(chances, sizes, rng)
+        hits += chances[0]
+    assert abs(hits / 4_000 - 0.2) < 0.02
+
+
+def test_empty(spark):
+    assert mixed(spark, []).collect() == []
+    assert [r.copies for r in mixed(spark, [(1, "a", 0, None, None, None)]).collect()] == [0]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01"])
+def test_table(spark, sf):
+    got = queries.op6_mixing(spark, f"/root/testdata/{sf}").collect()
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").collect()
+    assert {r.doc_id: r.size for r in got} == {r.doc_id: len((r.text or "").encode().split()) for r in docs}
+    taken, largest = Counter(), defaultdict(int)
+    for r in got:
+        taken[r.source] += r.taken
+        largest[r.source] = max(largest[r.source], r.size)
+        assert r.taken <= 2 * r.size
+    for r in got:
+        assert abs(taken[r.source] - r.target) <= largest[r.source]

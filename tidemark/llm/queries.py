@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import simhash
+from tidemark.llm import mixing, packing, simhash, url_filter
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -16,6 +16,72 @@ def op3_simhash(spark: SparkSession, root: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, root, "documents"), "doc_id", "text", size=3, radius=3)
 
 
-QUERIES = [op3_simhash]
+def byte_bpe() -> str:
+    """The vocabulary file that the packing queries use by default."""
+    import public_tokenizers
 
-ORACLE_SQL: dict[str, str] = {}
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op5_packing(spark: SparkSession, root: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 tokens."""
+    return packing.packed(read(spark, root, "documents"), byte_bpe(), limits=packing.Limits(1_024, 1_024, 1_024))
+
+
+def op6_mixing(spark: SparkSession, root: str) -> DataFrame:
+    """Words that the mix takes of every document."""
+    sized = read(spark, root, "documents").select("doc_id", "source", mixing.words("text").alias("size"))
+    return mixing.mix(sized, F.col("size")).select(
+        "row.doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+    )
+
+
+#: Rules (host, path) of the mix of hosts in the tables.
+PLACES = [
+    ("allow", "com/"),
+    ("block", "example.com/en/"),
+    ("allow", "www.example.com/en/"),
+    ("block", "net/es/"),
+    ("block", "net/fr/"),
+]
+
+
+def op7_url_filter(spark: SparkSession, root: str) -> DataFrame:
+    """Verdict on the url of every page; words in the url decide where no rule on its place does."""
+    rules = [url_filter.place(*x) for x in PLACES] + [url_filter.word("block", x) for x in url_filter.WORDS]
+    found = url_filter.judged(read(spark, root, "pages"), url_filter.rule_table(spark, rules))
+    of_place = F.when(F.col("rank") == 2, F.col("rule"))
+    return found.select("page_id", "host", "path", of_place.alias("rule"), "verdict")
+
+
+QUERIES = [op3_simhash, op5_packing, op6_mixing, op7_url_filter]
+
+OP7_SQL = """
+with cut as (
+    select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest
+    from pages
+), parts as (
+    select page_id,
+           translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+           regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path
+    from cut
+), ruled as (
+    select *, case
+        when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
+        when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
+        when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
+        when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
+        when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/'
+    end as rule
+    from parts
+)
+select page_id, host, path, rule, case
+    when rule in ('com/', 'www.example.com/en/') then 'allow'
+    when rule is not null then 'block'
+    when regexp_matches(host || path, '(?i)(^|[^a-z0-9])(@words)([^a-z0-9]|$)') then 'block'
+    else 'allow'
+end as verdict
+from ruled
+""".replace("@words", "|".join(url_filter.WORDS))
+
+ORACLE_SQL: dict[str, str] = {"op7_url_filter": OP7_SQL}
