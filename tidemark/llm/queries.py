@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, packing, simhash, url_filter
+from tidemark.llm import mixing, neighbours, packing, simhash, top_k, url_filter
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -54,7 +54,17 @@ def op7_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return found.select("page_id", "host", "path", of_place.alias("rule"), "verdict")
 
 
-QUERIES = [op3_simhash, op5_packing, op6_mixing, op7_url_filter]
+def op9_neighbours(spark: SparkSession, root: str) -> DataFrame:
+    """The 5 nearest by cosine of every fiftieth vector, approximately."""
+    return neighbours.neighbours(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
+
+
+def op10_top_k(spark: SparkSession, root: str) -> DataFrame:
+    """The 5 highest integer inner products of every fiftieth vector."""
+    return top_k.top_k(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
+
+
+QUERIES = [op3_simhash, op5_packing, op6_mixing, op7_url_filter, op9_neighbours, op10_top_k]
 
 OP7_SQL = """
 with cut as (
@@ -84,4 +94,19 @@ end as verdict
 from ruled
 """.replace("@words", "|".join(url_filter.WORDS))
 
-ORACLE_SQL: dict[str, str] = {"op7_url_filter": OP7_SQL}
+OP10_SQL = """
+with whole as (
+    select vec_id, [floor(256 * x::double) for x in embedding] as e
+    from embeddings
+    where vec_id is not null and len(embedding) > 0
+      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+), scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+    from whole q join whole c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+)
+select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+from scored
+qualify rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_url_filter": OP7_SQL, "op10_top_k": OP10_SQL}
