@@ -7,6 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.session import settle
 
 
+ROWS = 100_000  # links that a task writes, as tables of links shrink to far fewer rows than tasks
+
+
 def _mark(links: DataFrame) -> tuple:
     """Row count and an order-free hash; equal marks mean that a round changed nothing."""
     return tuple(links.agg(F.count("*"), F.bit_xor(F.xxhash64("high", "low")), F.sum(F.xxhash64("low", "high") % 1_000_003)).first())
@@ -30,6 +33,7 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     before = None
     while (mark := _mark(links)) != before:
         before = mark
+        tasks = max(1, -(-2 * mark[0] // ROWS))
         both = links.select(F.col("high").alias("node"), F.col("low").alias("other")).union(
             links.select(F.col("low").alias("node"), F.col("high").alias("other"))
         )
@@ -40,7 +44,7 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
             .select(F.col("other").alias("high"), F.col("least").alias("low"))
             .distinct()
         )
-        large = settle(large, "large-stars")
+        large = settle(large.coalesce(tasks), "large-stars")
         least = large.groupBy("high").agg(F.min("low").alias("least"))
         small = (
             large.join(least, "high")
@@ -49,6 +53,6 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
             .union(least.select("high", F.col("least").alias("low")))
             .distinct()
         )
-        links = settle(small, "small-stars")
+        links = settle(small.coalesce(tasks), "small-stars")
     roots = links.select(F.col("low").alias("node"), F.col("low").alias("root")).distinct()
     return links.select(F.col("high").alias("node"), F.col("low").alias("root")).union(roots)

@@ -119,9 +119,8 @@ def links(prints: DataFrame, radius: int, tile: int = TILE) -> DataFrame:
     width = F.array(*(F.lit(max(1, x)) for x in parts))
     ones = F.col("ones").cast("int")
     number = F.get(first, ones) + F.pmod(F.xxhash64("print"), F.get(width, ones)).cast("int")
-    tiles = settle(
-        prints.groupBy("ones", number.alias("tile")).agg(F.collect_list("print").alias("prints")), "tiles"
-    )
+    tiles = prints.groupBy("ones", number.alias("tile")).agg(F.collect_list("print").alias("prints"))
+    tiles = settle(tiles.coalesce(max(1, int(start[-1]) // RUN)), "tiles")
     low = F.get(first, F.greatest(ones - radius, F.lit(0)))
     high = F.get(first, F.least(ones + radius + 1, F.lit(BITS + 1))) - 1
     others = tiles.select(
