@@ -1,0 +1,82 @@
+import numpy as np
+
+from tidemark.llm import queries, toxicity as t
+
+SIDE = "doc_id long, text string, toxic int, severity string"
+
+
+def test_features():
+    assert t.features("Idiots, IDIOT!") == {"idiots", "idiot", "idio*", "idiot*"}
+    assert t.features(None) == t.features("") == set() and t.sketch(None) == t.sketch("")
+    assert t.sketch("a b c d e f") == t.sketch("A b  c d e f\n")
+
+
+def test_cumulative_link_by_brute_force():
+    """The fit reaches the least mean loss that a plain numeric search finds."""
+    rng = np.random.default_rng(0)
+    rows = [sorted(set(rng.integers(0, 3, 2).tolist())) for _ in range(600)]
+    truth, cuts = np.array([2.0, 0.5, -1.0]), np.array([0.0, 1.0, 2.5])
+    logistic = rng.logistic(size=600)
+    grades = np.array([int((truth[r].sum() + e > cuts).sum()) for r, e in zip(rows, logistic)])
+
+    def loss(weights, cuts):
+        sums = np.array([weights[r].sum() for r in rows])
+        above = 1 / (1 + np.exp(cuts[None] - sums[:, None]))
+        above = np.concatenate([np.ones((600, 1)), above, np.zeros((600, 1))], axis=1)
+        own = np.arange(600)
+        return -np.log(above[own, grades] - above[own, grades + 1]).mean()
+
+    weights, found = t.fit_ordinal(rows, grades, 3, 3)
+    assert (np.diff(found) > 0).all()
+    best = loss(weights, found)
+    for i in range(3):
+        for d in (-0.05, 0.05):
+            w, c = weights.copy(), found.copy()
+            w[i] += d
+            assert loss(w, found) > best - 1e-4
+            c[i] += d
+            assert loss(weights, c) > best - 1e-4
+    assert best <= loss(truth, cuts)
+
+
+def test_severity_is_expected_grade():
+    model = t.Model({"bad": 3.0, "awfu*": 2.0}, np.array([1.0, 2.0, 4.0]))
+    above = model.chances(["Bad awful", "awful", None])
+    assert np.allclose(above[0], 1 / (1 + np.exp(np.array([1, 2, 4]) - 5.0)))
+    assert np.allclose(above[1], 1 / (1 + np.exp(np.array([1, 2, 4]) - 2.0)))
+    assert np.allclose(above[2], 1 / (1 + np.exp(np.array([1, 2, 4]))))
+
+
+def test_edges(spark):
+    rng = np.random.default_rng(2)
+    word = lambda: "".join(rng.choice(list("abcdefg"), 6))
+    rows = [(i, " ".join(word() for _ in range(30)) + (" vile brute" if i % 4 == 0 else ""), 1, "s") for i in range(400)]
+    rows += [(400, "the vile brute and " * 10_000, None, None), (401, None, None, None), (None, "", None, None), (402, "calm words", 5, ""), (402, "calm words", 5, "")]
+    docs = spark.createDataFrame(rows, SIDE)
+    marks = [(i, int(i % 4 == 0)) for i in range(300)] + [(0, None), (4, 1), (None, 1)]
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    got = {r.doc_id: r for r in t.judged(docs, labels).collect()}
+    assert t.judged(docs, labels).count() == len(rows)
+    assert all(got[i].toxic == int(i % 4 == 0) for i in range(300, 401)) and got[401].toxic == got[402].toxic == got[None].toxic == 0
+    assert got[400].severity > 0.5 > got[402].severity
+    assert t.judged(docs.limit(0), labels).collect() == []
+    assert {r.toxic for r in t.judged(docs, labels.limit(0)).collect()} == {0}
+
+
+def test_labels_of_the_table(spark):
+    root = "/root/testdata/sf0.1"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{root}/labels.parquet").collect()}
+    got = queries.op4_toxicity(spark, root).collect()
+    assert len(got) == 10_000
+    assert np.mean([r.toxic for r in got if labels.get(r.doc_id) == 1]) > 0.9
+    assert np.mean([r.toxic for r in got if labels.get(r.doc_id) == 0]) < 0.005
+
+
+def test_held_out(spark, monkeypatch):
+    """Labels of half the documents find the toxic ones of the other half."""
+    root = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{root}/{x}.parquet") for x in ("documents", "labels"))
+    other = {r.doc_id: r.toxic for r in labels.where("doc_id % 2 = 1").collect()}
+    got = [r for r in t.judged(docs, labels.where("doc_id % 2 = 0")).collect() if r.doc_id in other]
+    assert np.mean([r.toxic for r in got if other[r.doc_id] == 1]) > 0.85
+    assert np.mean([r.toxic for r in got if other[r.doc_id] == 0]) < 0.01

@@ -4,18 +4,28 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, neighbours, packing, simhash, top_k, url_filter
+from tidemark.llm import mixing, neighbours, packing, quality, simhash, top_k, toxicity, url_filter
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{table}.parquet")
 
 
+def op2_quality(spark: SparkSession, root: str) -> DataFrame:
+    """Quality score of every document, and whether it is kept."""
+    return quality.judged(read(spark, root, "documents"))
+
+
 def op3_simhash(spark: SparkSession, root: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(read(spark, root, "documents"), "doc_id", "text", size=3, radius=3)
 
 
+def op4_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    """Expected severity of every document, and whether it counts as toxic."""
+    return toxicity.judged(read(spark, root, "documents"), read(spark, root, "labels"))
+
+
 def byte_bpe() -> str:
     """The vocabulary file that the packing queries use by default."""
     import public_tokenizers
@@ -64,7 +74,7 @@ def op10_top_k(spark: SparkSession, root: str) -> DataFrame:
     return top_k.top_k(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
 
 
-QUERIES = [op3_simhash, op5_packing, op6_mixing, op7_url_filter, op9_neighbours, op10_top_k]
+QUERIES = [op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op9_neighbours, op10_top_k]
 
 OP7_SQL = """
 with cut as (
