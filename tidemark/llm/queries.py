@@ -4,13 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import mixing, neighbours, packing, quality, simhash, top_k, toxicity, url_filter
+from tidemark.llm import html_text, mixing, neighbours, packing, quality, simhash, top_k, toxicity, url_filter
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{root}/{table}.parquet")
 
 
+def op1_html(spark: SparkSession, root: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(read(spark, root, "pages"))
+
+
 def op2_quality(spark: SparkSession, root: str) -> DataFrame:
     """Quality score of every document, and whether it is kept."""
     return quality.judged(read(spark, root, "documents"))
@@ -74,7 +79,7 @@ def op10_top_k(spark: SparkSession, root: str) -> DataFrame:
     return top_k.top_k(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
 
 
-QUERIES = [op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op9_neighbours, op10_top_k]
+QUERIES = [op1_html, op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op9_neighbours, op10_top_k]
 
 OP7_SQL = """
 with cut as (
