@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import html_text, mixing, neighbours, packing, quality, simhash, top_k, toxicity, url_filter
+from tidemark.llm import html_text, licences, mixing, neighbours, packing, quality, simhash, top_k, toxicity, url_filter
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -69,6 +69,11 @@ def op7_url_filter(spark: SparkSession, root: str) -> DataFrame:
     return found.select("page_id", "host", "path", of_place.alias("rule"), "verdict")
 
 
+def op8_licences(spark: SparkSession, root: str) -> DataFrame:
+    """Licence family of every document that carries a notice."""
+    return licences.scan(read(spark, root, "documents"))
+
+
 def op9_neighbours(spark: SparkSession, root: str) -> DataFrame:
     """The 5 nearest by cosine of every fiftieth vector, approximately."""
     return neighbours.neighbours(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
@@ -79,7 +84,7 @@ def op10_top_k(spark: SparkSession, root: str) -> DataFrame:
     return top_k.top_k(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
 
 
-QUERIES = [op1_html, op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op9_neighbours, op10_top_k]
+QUERIES = [op1_html, op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op8_licences, op9_neighbours, op10_top_k]
 
 OP7_SQL = """
 with cut as (
