@@ -192,3 +192,25 @@ def mix(
     return chosen.join(plan.drop("chance").withColumnRenamed("rank", "at"), F.col("rank") == F.col("at")).select(
         "row", "source", "size", "source_size", "target", (F.col("whole") + F.col("chance").cast("long")).alias("copies")
     )
+
+
+def taken(docs: DataFrame, size: Column, source: str = "source", **rates) -> DataFrame:
+    """The rows of ``docs`` as often as ``mix`` takes them, all columns as they were.
+
+    Only hashes of the rows, sources and sizes are mixed; the rows are then found by two
+    64-bit hashes. Equal rows share the copies of all: each is taken the whole part of
+    their mean, and one of them the rest.
+    """
+    row = F.struct(*(docs[c] for c in docs.columns))
+    narrow = docs.select(F.xxhash64(row).alias("__one"), F.xxhash64(row, F.lit(1)).alias("__two"), F.col(source).alias("source"), size.alias("size"))
+    mixed = mix(narrow, F.col("size"), "source", **rates)
+    counted = mixed.groupBy("row.__one", "row.__two").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    each = F.floor(F.col("copies") / F.col("rows"))
+    counted = settle(counted.select("__one", "__two", each.alias("__each"), (F.col("copies") - each * F.col("rows")).alias("__rest")), "copies")
+    found = docs.join(counted, (F.xxhash64(row) == counted["__one"]) & (F.xxhash64(row, F.lit(1)) == counted["__two"]))
+
+    def times(rows: DataFrame, count: str) -> DataFrame:
+        often = F.explode(F.array_repeat(F.lit(0), F.col(count).cast("int"))).alias("__copy")
+        return rows.where(F.col(count) > 0).select(docs["*"], often).drop("__copy")
+
+    return times(found, "__each").union(times(found.where("__rest > 0").dropDuplicates(["__one", "__two"]), "__rest"))

@@ -10,6 +10,7 @@ from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -23,6 +24,7 @@ STEPS = 300  # of the scorer's descent
 SMOOTH = 1.0  # added to every count of the vote table
 PENALTY = 1e-5
 KEEP = 0.5
+VERDICT = "__verdict"  # on the way only
 BAD, NONE, GOOD = 0, 1, 2
 
 _UPPER = bytes(range(ord("A"), ord("Z") + 1))
@@ -205,9 +207,7 @@ def vote_column(text: str):
     """Votes of each text as an array."""
 
     @F.pandas_udf(T.ArrayType(T.ByteType()))
-    def of(texts):
-        import pandas as pd
-
+    def of(texts: pd.Series) -> pd.Series:
         return pd.Series([votes(look(x)) for x in texts])
 
     return of(F.col(text))
@@ -250,24 +250,25 @@ def fit(docs: DataFrame, key: str, text: str) -> tuple[Labels, Scorer]:
     return labels, fit_scorer([dict(zip(r.buckets, r.shares)) for r in rows], good)
 
 
-def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = KEEP) -> DataFrame:
-    """``key``, ``score`` of the scorer, ``posterior`` of the label model, ``keep`` of every row.
+def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = KEEP) -> DataFrame:
+    """``docs`` with a struct ``VERDICT``: ``score`` of the scorer, ``posterior`` of the label model, ``keep``.
 
     A null text counts as empty, which the first voter calls bad. Repeated rows and null keys
-    stay; other columns are not read; no document gives no row.
+    stay; other columns pass unread, whatever their names; no document gives no row.
     """
-    narrow = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    labels, scorer = fit(narrow, "key", "text")
-    schema = T.StructType([T.StructField(key, narrow.schema["key"].dataType)])
-    schema = schema.add("score", "double").add("posterior", "double").add("keep", "boolean")
+    labels, scorer = fit(docs.select(docs[key].alias("key"), docs[text].alias("text")), "key", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.pandas_udf("score double, posterior double, keep boolean")
+    def judge(texts: pd.Series) -> pd.DataFrame:
         memo: dict[bytes, int] = {}
-        for batch in batches:
-            looks = [look(x) for x in batch.column("text").to_pylist()]
-            scores = np.array([scorer.score(features(x, memo)) for x in looks])
-            good = labels.posterior(np.array([votes(x) for x in looks]).reshape(-1, VOTERS))
-            columns = [batch.column("key"), pa.array(scores), pa.array(good), pa.array(scores >= threshold)]
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+        looks = [look(x) for x in texts]
+        scores = np.array([scorer.score(features(x, memo)) for x in looks])
+        good = labels.posterior(np.array([votes(x) for x in looks]).reshape(-1, VOTERS))
+        return pd.DataFrame({"score": scores, "posterior": good, "keep": scores >= threshold})
 
-    return narrow.mapInArrow(run, schema)
+    return docs.withColumn(VERDICT, judge(docs[text]))
+
+
+def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = KEEP) -> DataFrame:
+    """``key`` and the verdict of ``marked`` of every row."""
+    return marked(docs.select(docs[key], docs[text]), key, text, threshold).select(key, f"{VERDICT}.*")

@@ -168,3 +168,25 @@ def near_duplicates(
             "component_id",
         )
     )
+
+
+def firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, radius: int = 3) -> DataFrame:
+    """One row of each component, all columns as they were: that of the smallest key, nulls last.
+
+    Of rows with this key in the component the text with the smallest hash stays, and
+    of repeated rows one. Fingerprints, not texts, are shuffled to choose; the chosen
+    rows are then found by key and text hash.
+    """
+    hashed = F.xxhash64(F.col(text))
+    named = docs.select(F.col(key).alias("key"), hashed.alias("hash"), fingerprint_column(text, size).alias("print"))
+    named = settle(named, "fingerprints")
+    roots = memberships(named.select("print"), radius)
+    order = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("hash"))
+    best = named.groupBy("print").agg(F.min(order).alias("best")).join(roots, "print").groupBy("root").agg(F.min("best").alias("best"))
+    repeats = named.groupBy(F.col("key").alias("k"), F.col("hash").alias("h")).agg(F.count("*").alias("__rows"))
+    chosen = best.select("best.key", "best.hash").join(repeats, F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h")))
+    chosen = settle(chosen.select(F.col("key").alias("__key"), F.col("hash").alias("__hash"), "__rows"), "firsts")
+    same = docs[key].eqNullSafe(chosen["__key"]) & (F.xxhash64(docs[text]) == chosen["__hash"])
+    found = docs.join(chosen, same)
+    single = found.where("__rows = 1").select(docs["*"])
+    return single.union(found.where("__rows > 1").select(docs["*"]).dropDuplicates([key, text]))

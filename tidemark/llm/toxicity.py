@@ -8,10 +8,11 @@ from collections.abc import Iterable, Iterator, Sequence
 from typing import NamedTuple
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.session import settle
 
@@ -27,6 +28,7 @@ PENALTY = 1e-5
 REJECT = 0.15  # chance of any severity at which a document counts as toxic, at least
 SPARED = 0.999  # share of the clean documents fitted that must stay below
 PREFIXES = (4, 5)  # letters of word beginnings; inflected words share them
+VERDICT = "__verdict"  # on the way only
 SHINGLE = 5  # words, for telling copies apart
 
 WORD = re.compile(r"\w+")
@@ -172,24 +174,25 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str) -> Model:
     return Model(dict(zip(place, weights.tolist())), thresholds, cut)
 
 
-def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key``, ``severity`` (expected grade, 0 to ``GRADES``), ``grade`` (the likeliest), ``toxic`` (0 or 1) of every row.
+def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with a struct ``VERDICT``: ``severity`` (expected grade, 0 to ``GRADES``), ``grade`` (the likeliest), ``toxic`` (0 or 1).
 
     ``labels`` has ``doc_id`` and ``toxic``; repeats count as toxic if one is. A null text
-    counts as empty; repeated rows and null keys stay; other columns are not read; no
-    document gives no row, and without labels of both kinds nothing is toxic.
+    counts as empty; repeated rows and null keys stay; other columns pass unread, whatever
+    their names; no document gives no row, and without labels of both kinds nothing is toxic.
     """
     model = fit(docs, labels, key, text)
-    narrow = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    schema = T.StructType([T.StructField(key, narrow.schema["key"].dataType)])
-    schema = schema.add("severity", "double").add("grade", "integer").add("toxic", "integer")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            above = model.chances(batch.column("text").to_pylist())
-            each = -np.diff(above, axis=1, prepend=1, append=0)
-            columns = [batch.column("key"), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32))]
-            columns.append(pa.array((above[:, 0] >= model.cut).astype(np.int32)))
-            yield pa.RecordBatch.from_arrays(columns, schema.names)
+    @F.pandas_udf("severity double, grade int, toxic int")
+    def judge(texts: pd.Series) -> pd.DataFrame:
+        above = model.chances(texts.tolist())
+        each = -np.diff(above, axis=1, prepend=1, append=0)
+        toxic = (above[:, 0] >= model.cut).astype(np.int32)
+        return pd.DataFrame({"severity": above.sum(axis=1), "grade": each.argmax(axis=1).astype(np.int32), "toxic": toxic})
+
+    return docs.withColumn(VERDICT, judge(docs[text]))
 
-    return narrow.mapInArrow(run, schema)
+
+def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and the verdict of ``marked`` of every row."""
+    return marked(docs.select(docs[key], docs[text]), labels, key, text).select(key, f"{VERDICT}.*")
