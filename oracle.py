@@ -353,7 +353,7 @@ FROM clustered GROUP BY rank, country, province, slope""",
             PANEL + ", " + PLACE_LOCATED,
             f"""SELECT coalesce(h.country, v.country) AS country, coalesce(h.province, v.province) AS province,
        h.lat, h.lon, v.cum AS total
-FROM place_located h FULL JOIN (SELECT * FROM panel WHERE {last}) v
+FROM (SELECT * FROM place_located WHERE lat >= 0) h FULL JOIN (SELECT * FROM panel WHERE {last} AND cum % 3 > 0) v
   ON h.country = v.country AND h.province = v.province""",
         ),
         "shipment_monthly_mean": _with(SHIPMENTS, "SELECT country, month, mean FROM means"),

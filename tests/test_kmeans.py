@@ -6,10 +6,7 @@ from math import floor
 import pytest
 from pyspark.errors import PySparkException
 
-from tidemark.functions.places import PLACE
 from tidemark.operators import kmeans
-from tidemark.plans import clusters
-from tidemark.sources import tables
 
 
 def reference_labels(values, ranks):
@@ -37,9 +34,9 @@ def reference_labels(values, ranks):
     return [used.index(c) for c in near]
 
 
-def points_of(spark, groups, bounded=False):
+def points_of(spark, groups):
     rows = [(g, r, float(v)) for g, values in groups.items() for r, v in enumerate(values)]
-    return kmeans.grid_points(spark.createDataFrame(rows, "g int, rank int, v double"), "g", "v", bounded)
+    return kmeans.grid_points(spark.createDataFrame(rows, "g int, rank int, v double"), "g", "v")
 
 
 def by_group(groups, df):
@@ -52,29 +49,48 @@ def clustered(spark, groups, ranks, **options):
     return by_group(groups, kmeans.labels(points, kmeans.fit(points, "g", ranks, **options), "g"))
 
 
-def clustered_bounded(spark, groups, ranks, **options):
-    return by_group(groups, kmeans.cluster_bounded(points_of(spark, groups, True), "g", ranks, **options))
-
-
 def test_worked_example(spark):
     points = spark.createDataFrame([(0, 0, 0.0), (0, 1, 0.2), (0, 2, 0.9), (0, 3, 1.0)], "g int, rank int, v double")
     points = kmeans.grid_points(points, "g", "v")
     state = kmeans.fit(points, "g", (0, 3))
-    assert [r.cluster for r in kmeans.cluster_bounded(points, "g", (0, 3)).orderBy("rank").collect()] == [0, 0, 1, 1]
     assert state.first().centroids == pytest.approx([0.2 / 3, 1.9 / 3])
     labels = kmeans.labels(points, state, "g").orderBy("rank").collect()
     assert [r.cluster for r in labels] == [0, 0, 1, 1]
 
 
+def test_draws():
+    assert kmeans.start_ranks(50) == (13, 39, 30, 45)
+    assert kmeans.start_ranks(46) == (39, 25, 26, 44) and kmeans.start_ranks(49) == (13, 45, 47, 44)
+    assert sorted(kmeans.start_ranks(4)) == [0, 1, 2, 3]
+    with pytest.raises(ValueError, match="at least 4 points"):
+        kmeans.start_ranks(3)
+
+
 def test_random_groups(spark):
     rng = random.Random(2)
+    ranks = kmeans.start_ranks(50)
     groups = {g: [rng.choice([rng.random(), rng.randint(0, 4)]) * 30 for _ in range(50)] for g in range(12)}
     groups[12] = [7.0] * 50
     groups[13] = [0.0] * 49 + [1.0]
-    got = clustered(spark, groups, kmeans.START_RANKS)
-    assert got == {g: reference_labels(v, kmeans.START_RANKS) for g, v in groups.items()}
+    got = clustered(spark, groups, ranks)
+    assert got == {g: reference_labels(v, ranks) for g, v in groups.items()}
     assert got[12] == [0] * 50
-    assert got == clustered_bounded(spark, groups, kmeans.START_RANKS)
+
+
+@pytest.mark.parametrize("places", [4, 20, 45, 46, 300])
+def test_any_number_of_places(spark, places):
+    rng = random.Random(places)
+    groups = {g: [rng.random() for _ in range(places)] for g in range(3)}
+    got = by_group(groups, kmeans.cluster(points_of(spark, groups), "g"))
+    assert got == {g: reference_labels(v, kmeans.start_ranks(places)) for g, v in groups.items()}
+
+
+def test_a_group_without_a_starting_point_is_an_error(spark):
+    groups = {0: [float(i) for i in range(50)], 1: [1.0, 2.0, 5.0]}
+    with pytest.raises(PySparkException, match="starting rank"):
+        kmeans.cluster(points_of(spark, groups), "g").collect()
+    with pytest.raises(ValueError):
+        kmeans.cluster(points_of(spark, {0: [1.0, 2.0]}), "g")
 
 
 def test_rounds_per_write_do_not_matter(spark):
@@ -85,19 +101,14 @@ def test_rounds_per_write_do_not_matter(spark):
     assert once == {g: reference_labels(v, (3, 9, 15)) for g, v in groups.items()}
 
 
-@pytest.mark.parametrize("run", [clustered, clustered_bounded])
-def test_unsettled_run_is_an_error(spark, run):
-    values = [random.Random(i).random() for i in range(50)]
-    with pytest.raises((RuntimeError, PySparkException), match="did not settle"):
-        run(spark, {0: values}, kmeans.START_RANKS, max_rounds=1)
-
-
-def test_long_reports_are_clustered_in_rounds(spark, root, monkeypatch):
-    panel = tables.order_panel(spark, root)
-    short = clusters.by_month(panel, PLACE)
-    monkeypatch.setattr(kmeans, "BOUNDED", 10)
-    long = clusters.by_month(panel, PLACE)
-    assert sorted(map(str, short.collect())) == sorted(map(str, long.collect()))
+def test_centroids_that_have_been_there_are_done(spark):
+    """A group whose centroids are back where they were ends there."""
+    points = points_of(spark, {0: [0.0, 0.2, 0.9, 1.0]})
+    state = kmeans.start(points, "g", (0, 3))
+    once = kmeans.update(points, state, "g", 2)
+    assert not once.first().done and len(once.first().seen) == 2
+    back = state.withColumn("seen", kmeans.F.array(kmeans.F.lit(once.select(kmeans.F.xxhash64("centroids")).first()[0])))
+    assert kmeans.update(points, back, "g", 2).first().done
 
 
 def test_ties_go_to_the_first_centroid(spark):

@@ -101,7 +101,7 @@ def test_rounds_shuffle_groups_not_points(spark):
         "points",
     )
     state = session.settle(kmeans.start(points, "g", (1, 5)), "state")
-    text = plan(kmeans.update(points, state, "g", 2, session.at_most(state, session.SMALL_ROWS)))
+    text = plan(kmeans.update(points, state, "g", 2))
     assert text.count("Exchange hashpartitioning") == 1 and "BroadcastHashJoin" in text
     assert text.index("Exchange hashpartitioning") < text.index("partial_sum")
 

@@ -15,7 +15,7 @@ ISO_DAY = "yyyy-MM-dd"
 DASHED_DAY = "M-d-yyyy"
 FIRST_YEAR_OF_1900S = 69  # two-digit years from here on belong to the 1900s
 
-_HEADER = re.compile(r"(\d{1,2})/(\d{1,2})/(\d{2})")
+_HEADER = re.compile(r"(\d{1,2})/(\d{1,2})/(\d{4}|\d{2})")
 
 
 def parse_header(name: str) -> date | None:
@@ -24,6 +24,8 @@ def parse_header(name: str) -> date | None:
     if hit is None:
         return None
     month, day, year = map(int, hit.groups())
+    if year > 99:
+        return date(year, month, day)
     return date(year + (1900 if year >= FIRST_YEAR_OF_1900S else 2000), month, day)
 
 

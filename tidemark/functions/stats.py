@@ -11,7 +11,7 @@ from pyspark.sql import Column, functions as F
 
 
 def _product(a: Column, b: Column) -> Column:
-    return a.cast("decimal(19,0)") * b.cast("decimal(19,0)")
+    return a.cast("decimal(38,0)") * b.cast("decimal(38,0)")
 
 
 def _ratio(over: Column, under: Column) -> Column:
@@ -24,8 +24,8 @@ def slope(x: Column, y: Column) -> Column:
     x = F.when(y.isNotNull(), x).cast("bigint")
     y = y.cast("bigint")
     n, sx, sy = F.count(y), F.sum(x), F.sum(y)
-    over = _product(n, F.sum(x * y)) - _product(sx, sy)
-    under = _product(n, F.sum(x * x)) - _product(sx, sx)
+    over = _product(n, F.sum(_product(x, y))) - _product(sx, sy)
+    under = _product(n, F.sum(_product(x, x))) - _product(sx, sx)
     return _ratio(over, under)
 
 
@@ -46,6 +46,20 @@ def slope_of_increases(day: Column, level: Column) -> Column:
     return F.when(F.count(level) == F.count(day), _ratio(over, under))
 
 
+def slope_of_counts(position: Column, count: Column, increases: Column) -> Column:
+    """``slope_of_increases`` from the days that have a count, however few.
+
+    ``position`` is the day's distance from the first day of the calendar, whose own
+    count is no increase; ``increases`` is the number of days after it. Days
+    without a count add nothing to the sums, so they need no row.
+    """
+    total = F.sum(F.when(position > 0, count).otherwise(0))
+    weighted = F.sum(_product(F.greatest(position - 1, F.lit(0)), F.when(position > 0, count).otherwise(0)))
+    n = F.max(increases).cast("bigint")
+    over = _product(F.lit(12), weighted) - _product((n - 1) * 6, total)
+    return _ratio(over, _product(n, n * n - 1))
+
+
 def mean(value: Column) -> Column:
     return F.sum(value).cast("double") / F.count(value)
 
@@ -54,7 +68,7 @@ def std_pop(value: Column) -> Column:
     """Population standard deviation of an integer column."""
     value = value.cast("bigint")
     n = F.count(value)
-    spread = _product(n, F.sum(value * value)) - _product(F.sum(value), F.sum(value))
+    spread = _product(n, F.sum(_product(value, value))) - _product(F.sum(value), F.sum(value))
     return F.sqrt(spread.cast("double")) / n
 
 

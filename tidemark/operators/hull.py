@@ -38,32 +38,30 @@ def _hull(points: Iterable[tuple[float, float]]) -> list[tuple[float, float]]:
 def convex_hull(df: DataFrame, groups: Sequence[str], x: str, y: str, fan_in: int = 16) -> DataFrame:
     """Corners of the hull of each group: ``vertex`` counts them counter-clockwise.
 
-    Every task first reduces what it reads to the corners so far, batch by
-    batch; the corners of all tasks are reduced again in at most ``fan_in``
-    tasks. The last step, one group at a time, therefore sees at most ``fan_in``
-    hulls, however many points a group has.
+    Every task reduces what it reads to corners, batch by batch. The corners of a
+    group are then dealt to ``fan_in`` parts, which reduce them again, and the last
+    step sees the corners of those parts only, however many points a group has. Points
+    with a null or NaN coordinate take no part.
     """
     groups = list(groups)
 
     def corners(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        so_far: dict[tuple, list[tuple[float, float]]] = defaultdict(list)
         for batch in batches:
-            touched = set()
+            seen: dict[tuple, list[tuple[float, float]]] = defaultdict(list)
             for *name, x, y in batch.itertuples(index=False, name=None):
-                so_far[tuple(name)].append((x, y))
-                touched.add(tuple(name))
-            so_far.update({name: _hull(so_far[name]) for name in touched})
-        rows = [(*name, x, y) for name, seen in so_far.items() for x, y in seen]
-        yield pd.DataFrame(rows, columns=[*groups, "x", "y"])
+                seen[tuple(name)].append((x, y))
+            rows = [(*name, x, y) for name, points in seen.items() for x, y in _hull(points)]
+            yield pd.DataFrame(rows, columns=[*groups, "x", "y"])
 
     def close(name: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         closed = [(*name, nr, x, y) for nr, (x, y) in enumerate(_hull(zip(rows["x"], rows["y"])))]
         return pd.DataFrame(closed, columns=[*groups, "vertex", "x", "y"])
 
     points = df.select(*groups, F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    points = points.where(F.col("x").isNotNull() & F.col("y").isNotNull())
+    points = points.where(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
     reduced = points.mapInPandas(corners, points.schema)
-    reduced = reduced.repartition(fan_in).mapInPandas(corners, points.schema)
+    part = F.pmod(F.xxhash64("x", "y"), F.lit(fan_in))
+    reduced = reduced.repartition(*groups, part).mapInPandas(corners, points.schema)
     keys, xy = points.select(*groups).schema, points.select("x", "y").schema
     schema = T.StructType([*keys, T.StructField("vertex", T.IntegerType()), *xy])
     return reduced.groupBy(*groups).applyInPandas(close, schema).withColumnsRenamed({"x": x, "y": y})

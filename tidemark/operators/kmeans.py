@@ -4,23 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.scaling import min_max
-from tidemark.session import SMALL_ROWS, at_most, hinted, settle
-
-# Ranks (from 0) of the points that start the four clusters.
-START_RANKS = (13, 39, 30, 45)
+from tidemark.session import settle
 
+SEED = 42
+CLUSTERS = 4
 STEPS = 10**12  # points lie on a grid of 1/STEPS, so that sums of points are exact
-MAX_ROUNDS = 400  # a run that needs more is an error, never a partial result
-BOUNDED = 10_000  # groups up to this length fit an array
 
 
-def grid_points(df: DataFrame, group: str, value: str, bounded: bool = False) -> DataFrame:
+def start_ranks(points: int, k: int = CLUSTERS) -> tuple[int, ...]:
+    """Ranks (from 0) of the points that start the clusters: the seeded draw from so many points."""
+    if points < k:
+        raise ValueError(f"{k} clusters need at least {k} points, not {points}")
+    return tuple(np.random.RandomState(SEED).permutation(points)[:k].tolist())
+
+
+def grid_points(df: DataFrame, group: str, value: str) -> DataFrame:
     """Add ``y``: the value scaled to 0..1 within its group, on the grid."""
     steps = F.floor(F.col("scaled") * float(STEPS) + 0.5).cast("bigint")
-    scaled = min_max(df, group, value, bounded=bounded).withColumn("steps", steps)
+    scaled = min_max(df, group, value).withColumn("steps", steps)
     return scaled.withColumn("y", F.col("steps").cast("double") / float(STEPS))
 
 
@@ -34,106 +39,77 @@ def nearest(y: str, centroids: str) -> Column:
 
 
 def start(points: DataFrame, group: str, ranks: Sequence[int]) -> DataFrame:
-    """Centroids of each group: its points of the given ranks, in that order."""
+    """Centroids of each group: its points of the given ranks, in that order. A group that lacks one is an error."""
     at = [F.max(F.when(F.col("rank") == r, F.col("y"))) for r in ranks]
-    return points.groupBy(group).agg(
-        F.array(*at).alias("centroids"), F.lit(None).cast("double").alias("mean"), F.lit(False).alias("done")
+    lacking = F.raise_error(F.concat(F.lit("no point of every starting rank in "), F.col(group).cast("string")))
+    whole = F.when(F.exists("found", F.isnull), lacking.cast("array<double>")).otherwise(F.col("found"))
+    return points.groupBy(group).agg(F.array(*at).alias("found")).select(
+        group,
+        whole.alias("centroids"),
+        F.lit(None).cast("double").alias("mean"),
+        F.lit(False).alias("done"),
+        F.array(F.xxhash64("found")).alias("seen"),
     )
 
 
-def update(points: DataFrame, state: DataFrame, group: str, k: int, small: bool) -> DataFrame:
+def update(points: DataFrame, state: DataFrame, group: str, k: int) -> DataFrame:
     """One round for all groups: an aggregate that combines before its shuffle.
 
     A centroid moves to sum / (members + 1), as if each cluster had one more
     member at 0; one without members moves to 0. Centroids of equal value share
-    their members. A group is done once the mean of its centroids stays.
+    their members. A group is done once the mean of its centroids stays, or
+    once its centroids are where they have been before: they would go round for ever.
     """
-    near = points.select(group, "steps", "y").join(hinted(state, small), group)
+    near = points.select(group, "steps", "y").join(state, group)
     near = near.withColumn("near", nearest("y", "centroids"))
     moved = [
         f"CAST(sum(CAST(IF(near = centroids[{i}], steps, 0) AS DECIMAL(18, 0))) AS DOUBLE) / {float(STEPS)}D"
         f" / (count_if(near = centroids[{i}]) + 1)"
         for i in range(k)
     ]
-    rounds = near.groupBy(group).agg(
-        F.first(F.struct("centroids", "mean", "done")).alias("before"), F.expr(f"array({', '.join(moved)})").alias("moved")
-    )
+    before = F.first(F.struct("centroids", "mean", "done", "seen")).alias("before")
+    rounds = near.groupBy(group).agg(before, F.expr(f"array({', '.join(moved)})").alias("moved"))
     level = f"({' + '.join(f'moved[{i}]' for i in range(k))}) / {k}"
     return rounds.selectExpr(
         f"`{group}`",
         "IF(before.done, before.centroids, moved) AS centroids",
         f"IF(before.done, before.mean, {level}) AS mean",
-        f"before.done OR coalesce(before.mean = {level}, false) AS done",
+        f"before.done OR coalesce(before.mean = {level}, false) OR array_contains(before.seen, xxhash64(moved)) AS done",
+        "IF(before.done, before.seen, array_append(before.seen, xxhash64(moved))) AS seen",
     )
 
 
-def fit(
-    points: DataFrame,
-    group: str,
-    ranks: Sequence[int] = START_RANKS,
-    rounds_per_write: int = 4,
-    max_rounds: int = MAX_ROUNDS,
-) -> DataFrame:
-    """Final centroids of every group (``centroids``, one row per group).
-
-    The state, k numbers per group, is written to the shared folder after every
-    few rounds: the plan stays short and a lost executor costs no more than
-    those rounds. Up to ``SMALL_ROWS`` groups the state is broadcast; with more
-    it is written every round, so that Spark always knows its size.
-    ``points`` should be a written table, as it is read once a round.
+def fit(points: DataFrame, group: str, ranks: Sequence[int], rounds_per_write: int = 4) -> DataFrame:
+    """Final centroids of every group (``centroids``, one row per group), whatever its length.
+
+    The state, k numbers per group and a hash per round, is written to the shared
+    folder after every few rounds: the plan stays short and a lost executor costs no
+    more than those rounds. Spark knows the size of what is written and decides
+    itself whether to broadcast it. ``points`` should be a written table, as it is read
+    once a round.
     """
-    k = len(ranks)
     state = settle(start(points, group, ranks), "kmeans")
-    small = at_most(state, SMALL_ROWS)
-    step = rounds_per_write if small else 1
-    for rounds in range(0, max_rounds, step):
-        for _ in range(min(step, max_rounds - rounds)):
-            state = update(points, state, group, k, small)
+    while not state.where(~F.col("done")).isEmpty():
+        for _ in range(rounds_per_write):
+            state = update(points, state, group, len(ranks))
         state = settle(state, "kmeans")
-        if state.where(~F.col("done")).isEmpty():
-            return state
-    raise RuntimeError(f"k-means did not settle in {max_rounds} rounds")
-
-
-def cluster_bounded(
-    points: DataFrame, group: str, ranks: Sequence[int] = START_RANKS, max_rounds: int = MAX_ROUNDS
-) -> DataFrame:
-    """``fit`` and ``labels`` for groups of at most ``BOUNDED`` points, in one shuffle and without a job of its own.
-
-    The points of a group, a report of known length, meet in one array, and the
-    rounds run over that array inside a single expression.
-    """
-    k = len(ranks)
-    others = [c for c in points.columns if c != group]
-    started = ", ".join(f"filter(points, p -> p.rank = {r})[0].y" for r in ranks)
-    members = f"transform(points, p -> struct(p.steps AS steps, {_nearest('p.y', 's.c')} AS near))"
-    moved = f"""transform(array({members}), near -> transform(s.c, c ->
-        aggregate(filter(near, p -> p.near = c), 0L, (total, p) -> total + p.steps, total -> CAST(total AS DOUBLE))
-          / {float(STEPS)}D / (size(filter(near, p -> p.near = c)) + 1)))[0]"""
-    level = f"({' + '.join(f'm[{i}]' for i in range(k))}) / {k}"
-    step = f"""transform(array({moved}), m -> named_struct(
-        'c', m, 'mean', {level}, 'done', coalesce({level} = s.mean, false)))[0]"""
-    rounds = f"""aggregate(sequence(1, {max_rounds}),
-        named_struct('c', array({started}), 'mean', CAST(NULL AS DOUBLE), 'done', false),
-        (s, r) -> IF(s.done, s, {step}))"""
-    gathered = points.groupBy(group).agg(F.collect_list(F.struct(*others)).alias("points"))
-    last = gathered.select(group, "points", F.expr(rounds).alias("last"))
-    unsettled = F.raise_error(F.lit(f"k-means did not settle in {max_rounds} rounds"))
-    settled = last.select(
-        group, "points", F.when(F.col("last.done"), F.col("last.c")).otherwise(unsettled).alias("centroids")
-    )
-    used = f"array_sort(array_distinct(transform(points, p -> {_nearest('p.y', 'centroids')})))"
-    rows = settled.select(group, "centroids", F.expr(used).alias("used"), F.inline("points"))
-    cluster = F.array_position("used", nearest("y", "centroids")) - 1
-    return rows.select(*points.columns, cluster.cast("int").alias("cluster"))
+    return state
 
 
 def labels(points: DataFrame, state: DataFrame, group: str) -> DataFrame:
     """Cluster of every point: the rank of its centroid among those in use, lowest first."""
-    small = at_most(state, SMALL_ROWS)
-    near = points.join(hinted(state.select(group, "centroids"), small), group)
+    near = points.join(state.select(group, "centroids"), group)
     near = near.withColumn("near", nearest("y", "centroids"))
     used = near.groupBy(group).agg(F.array_sort(F.collect_set("near")).alias("used"))
-    return near.join(hinted(used, small), group).select(
+    return near.join(used, group).select(
         *points.columns, (F.array_position("used", F.col("near")) - 1).cast("int").alias("cluster")
     )
+
+
+def cluster(points: DataFrame, group: str) -> DataFrame:
+    """``points`` with the ``cluster`` of each; a point's ``rank`` is its place in a list that all groups share."""
+    points = settle(points, "points")
+    last = points.agg(F.max("rank")).first()[0]
+    if last is None:
+        return points.withColumn("cluster", F.lit(None).cast("int"))
+    return labels(points, fit(points, group, start_ranks(last + 1)), group)

@@ -18,9 +18,14 @@ def month_ends(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def change(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Increase since the previous month-end; the first month keeps its level."""
+    """Increase since the previous month-end; the first month keeps its level.
+
+    A month missing between two others is an error: its increase has no day count.
+    """
     by_month = Window.partitionBy(*keys).orderBy("month")
-    before, has_before = F.lag("cum").over(by_month), F.lag("month").over(by_month).isNotNull()
+    earlier = F.lag("month").over(by_month)
+    gap = F.raise_error(F.concat(F.lit("no level in the month before "), F.col("month").cast("string"))).cast("bigint")
+    before, has_before = F.when(F.add_months(earlier, 1) == F.col("month"), F.lag("cum").over(by_month)).otherwise(gap), earlier.isNotNull()
     return ends.select(
         *keys,
         "month",

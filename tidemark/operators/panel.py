@@ -52,9 +52,12 @@ def on_last_day(panel: DataFrame, last: Column | None = None) -> DataFrame:
 
 
 def increase(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Change to the next day, stored under the earlier day; the last day has none."""
+    """Change to the next day, stored under the earlier day; the last day has none.
+
+    A missing day is an error: the change over several days is no day's increase.
+    """
     by_day = Window.partitionBy(*keys).orderBy("date")
-    following = panel.withColumn("_next", F.lead("cum").over(by_day)).withColumn(
-        "_has_next", F.lead("date").over(by_day).isNotNull()
-    )
-    return following.where("_has_next").select(*keys, "date", (F.col("_next") - F.col("cum")).alias("inc"))
+    following = panel.withColumn("_next", F.lead("cum").over(by_day)).withColumn("_day", F.lead("date").over(by_day))
+    gap = F.raise_error(F.concat(F.lit("no level on the day after "), F.col("date").cast("string"))).cast("bigint")
+    change = F.when(F.date_diff("_day", "date") == 1, F.col("_next") - F.col("cum")).otherwise(gap)
+    return following.where("_day IS NOT NULL").select(*keys, "date", change.alias("inc"))

@@ -15,7 +15,7 @@ from tidemark.session import settle
 
 def _steepest(panel: DataFrame, keys: Sequence[str], k: int) -> tuple[DataFrame, list[str]]:
     """The panel cut to the steepest places, before anything is computed per month."""
-    rows = trends.with_report(panel, trends.steepest_monthly(panel, keys, k), keys, k)
+    rows = trends.with_report(panel, trends.steepest_monthly(panel, keys, k), keys)
     return rows, [*keys, "slope", "rank"]
 
 
@@ -33,20 +33,13 @@ def by_month(
     panel: DataFrame,
     keys: Sequence[str],
     k: int = trends.STEEPEST_MONTHLY,
-    ranks: Sequence[int] = kmeans.START_RANKS,
 ) -> DataFrame:
     """Cluster of each of the steepest places in each month, by its scaled mean.
 
-    A month has at most ``k`` points, so a short report is clustered month by
-    month and a long one in rounds over all of its points.
+    All months are clustered together in rounds over their points, be they few or many.
     """
-    means = steepest_means(panel, keys, k)
-    if k <= kmeans.BOUNDED:
-        points = kmeans.grid_points(means, "month", "mean", bounded=True)
-        clustered = kmeans.cluster_bounded(points, "month", ranks)
-    else:
-        points = settle(kmeans.grid_points(settle(means, "means"), "month", "mean"), "points")
-        clustered = kmeans.labels(points, kmeans.fit(points, "month", ranks), "month")
+    means = settle(steepest_means(panel, keys, k), "means")
+    clustered = kmeans.cluster(kmeans.grid_points(means, "month", "mean"), "month")
     return clustered.select(*keys, "rank", "slope", "month", "mean", "scaled", "cluster")
 
 

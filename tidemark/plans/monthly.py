@@ -26,10 +26,11 @@ def mean_by_country(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean daily increase of every month per country.
 
     Places are cut to their month-ends first, so the sum over places moves one
-    row per place and month.
+    row per place and month. A place that was last seen earlier in a month than
+    others of its country keeps its level up to their month-end.
     """
     ends = monthly.month_ends(panel, keys)
-    totals = ends.groupBy("country", "month", "month_end").agg(F.sum("cum").alias("cum"))
+    totals = ends.groupBy("country", "month").agg(F.max("month_end").alias("month_end"), F.sum("cum").alias("cum"))
     return monthly.daily_mean(monthly.change(totals, ["country"]), ["country"])
 
 

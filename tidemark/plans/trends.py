@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions import stats
 from tidemark.functions.dates import month_number
@@ -13,7 +13,6 @@ from tidemark.operators import joins
 from tidemark.operators.panel import increase
 from tidemark.operators.ranking import top
 from tidemark.plans import monthly
-from tidemark.session import SMALL_ROWS, hinted
 
 STEEPEST_DAILY = 100
 STEEPEST_MONTHLY = 50
@@ -24,6 +23,16 @@ def daily_slopes(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
     return panel.groupBy(*keys).agg(stats.slope_of_increases(F.col("date"), F.col("cum")).alias("slope"))
 
 
+def slopes_of_counts(counts: DataFrame, keys: Sequence[str], start: Column, end: Column) -> DataFrame:
+    """``daily_slopes`` of the panel that ``cumulative`` would make of ``counts``, without making it.
+
+    ``start`` and ``end`` are the first and the last day of the calendar. One aggregate
+    over the days that have a count; nothing is stretched to quiet days.
+    """
+    position = F.date_diff("date", start).cast("bigint")
+    return counts.groupBy(*keys).agg(stats.slope_of_counts(position, F.col("n"), F.date_diff(end, start)).alias("slope"))
+
+
 def monthly_slopes(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Slope of the monthly increases per place."""
     increases = monthly.increase(panel, keys)
@@ -38,9 +47,9 @@ def steepest_monthly(panel: DataFrame, keys: Sequence[str], k: int = STEEPEST_MO
     return top(monthly_slopes(panel, keys), "slope", keys, k)
 
 
-def with_report(rows: DataFrame, report: DataFrame, keys: Sequence[str], k: int) -> DataFrame:
+def with_report(rows: DataFrame, report: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of the reported places together with what the report says of them."""
-    return joins.inner(rows, hinted(report, k <= SMALL_ROWS), keys)
+    return joins.inner(rows, report, keys)
 
 
 def continent_daily(
@@ -52,8 +61,8 @@ def continent_daily(
     its days are compared.
     """
     report = steepest_daily(panel, keys, k).select(*keys)
-    located = joins.inner(locations, hinted(report, k <= SMALL_ROWS), keys)
+    located = joins.inner(locations, report, keys)
     labelled = located.select(*keys, continent("lat", "lon").alias("continent"))
-    rows = with_report(panel, labelled, keys, k)
+    rows = with_report(panel, labelled, keys)
     daily = increase(rows, [*keys, "continent"])
     return daily.groupBy("continent", "date").agg(F.sum("inc").alias("inc"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     """
     named = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
     if not named:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.conf.get("spark.master", "local").partition("[")[0] == "local":
             raise ValueError(f"set {CHECKPOINT_KEY} to a folder all executors share")
         named = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.sparkContext.setCheckpointDir(named)
@@ -61,16 +61,3 @@ def settle(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-SMALL_ROWS = 100_000  # narrow tables up to this length are broadcast without a doubt
-
-
-def at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` (a written table) has no more than ``rows`` rows."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def hinted(df: DataFrame, small: bool) -> DataFrame:
-    """Ask for a broadcast where the size has been checked, else let Spark choose."""
-    return F.broadcast(df) if small else df

@@ -32,9 +32,8 @@ def province() -> Column:
 
 
 def day_range(facts: DataFrame, when: str) -> DataFrame:
-    """One row with the first and the last day of ``facts``; reads one column."""
-    day = F.col(when).cast("date")
-    return facts.agg(F.min(day).alias("start"), F.max(day).alias("end"))
+    """One row with the first and the last day of ``facts``; of the raw column, which file statistics can answer."""
+    return facts.agg(F.min(when).cast("date").alias("start"), F.max(when).cast("date").alias("end"))
 
 
 def _panel(counts: DataFrame, keys: Sequence[str], bounds: DataFrame) -> DataFrame:
@@ -90,11 +89,19 @@ def shipment_panel(spark: SparkSession, root: str) -> DataFrame:
     return _panel(counts, ["country"], day_range(items, "l_shipdate"))
 
 
+def event_counts(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Events per user, type or both and day."""
+    events = table(spark, root, "events")
+    return events.groupBy(*keys, F.col("ts").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def event_range(spark: SparkSession, root: str) -> DataFrame:
+    return day_range(table(spark, root, "events"), "ts")
+
+
 def event_panel(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
     """Cumulative events per user, type or both on every day of the event range."""
-    events = table(spark, root, "events")
-    counts = events.groupBy(*keys, F.col("ts").cast("date").alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    return _panel(counts, keys, day_range(events, "ts"))
+    return _panel(event_counts(spark, root, keys), keys, event_range(spark, root))
 
 
 def customer_locations(spark: SparkSession, root: str) -> DataFrame:

@@ -14,6 +14,7 @@ from tidemark.functions.places import COUNTRY, LAT, LON, LONG_NAMES, PLACE, PROV
 from tidemark.functions.regions import continent
 from tidemark.functions.sql import CONTINENT_FUNCTION, register_continent
 from tidemark.operators import joins, monthly as buckets, panel as panels, reshape, wide
+from tidemark.operators.ranking import top
 from tidemark.operators.scaling import min_max
 from tidemark.operators.weekly import weekly_stats
 from tidemark.plans import clusters, monthly, trends
@@ -122,7 +123,7 @@ def most_least_affected(spark: SparkSession, root: str) -> DataFrame:
     totals = panels.sum_by(last, ["country"])
     report = monthly.most_and_least(totals, "country", "cum", REPORT)
     means = monthly.mean_by_country(panel, PLACE)
-    both = joins.inner(means, F.broadcast(report), ["country"])
+    both = joins.inner(means, report, ["country"])
     return both.select("side", "rank", "country", F.col("cum").alias("total"), _month(), "mean")
 
 
@@ -294,7 +295,10 @@ def shipment_monthly_mean(spark: SparkSession, root: str) -> DataFrame:
 
 def event_trend_top100(spark: SparkSession, root: str) -> DataFrame:
     keys = ["event_type", "user_id"]
-    return trends.steepest_daily(tables.event_panel(spark, root, keys), keys).select("rank", *keys, _slope())
+    bounds = tables.event_range(spark, root)
+    start, end = bounds.select("start").scalar(), bounds.select("end").scalar()
+    slopes = trends.slopes_of_counts(tables.event_counts(spark, root, keys), keys, start, end)
+    return top(slopes, "slope", keys, trends.STEEPEST_DAILY).select("rank", *keys, _slope())
 
 
 def event_weekly_stats(spark: SparkSession, root: str) -> DataFrame:
@@ -306,8 +310,9 @@ def event_weekly_stats(spark: SparkSession, root: str) -> DataFrame:
 
 def outer_join_headers(spark: SparkSession, root: str) -> DataFrame:
     last = panels.on_last_day(tables.order_panel(spark, root), tables.last_order_day(spark, root))
-    totals = last.select(*PLACE, F.col("cum").alias("total"))
-    joined = joins.outer(tables.place_locations(spark, root), totals, PLACE)
+    # places of the south have no header here, and small totals no row, so that either side has unmatched rows
+    totals = last.select(*PLACE, F.col("cum").alias("total")).where("total % 3 > 0")
+    joined = joins.outer(tables.place_locations(spark, root).where("lat >= 0"), totals, PLACE)
     return joined.select(*_place(), "lat", "lon", "total")
 
 
