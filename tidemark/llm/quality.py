@@ -230,11 +230,14 @@ def fit(docs: DataFrame, key: str, text: str) -> tuple[Labels, Scorer]:
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, int] = {}
         for batch in batches:
-            looks = [look(x) for x in batch.column("text").to_pylist()]
-            found = [features(x, memo) for x in looks]
+            cast, found = [], []
+            for text in batch.column("text").to_pylist():
+                seen = look(text)
+                cast.append(votes(seen))
+                found.append(features(seen, memo))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([list(map(int, votes(x))) for x in looks], pa.list_(pa.int8())),
+                    pa.array(cast, pa.list_(pa.int8())),
                     pa.array([list(f) for f in found], pa.list_(pa.int32())),
                     pa.array([list(f.values()) for f in found], pa.list_(pa.float32())),
                 ],
@@ -261,10 +264,11 @@ def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     @F.pandas_udf("score double, posterior double, keep boolean")
     def judge(texts: pd.Series) -> pd.DataFrame:
         memo: dict[bytes, int] = {}
-        looks = [look(x) for x in texts]
-        scores = np.array([scorer.score(features(x, memo)) for x in looks])
-        good = labels.posterior(np.array([votes(x) for x in looks]).reshape(-1, VOTERS))
-        return pd.DataFrame({"score": scores, "posterior": good, "keep": scores >= threshold})
+        scores, cast = np.zeros(len(texts)), np.zeros((len(texts), VOTERS), int)
+        for i, text in enumerate(texts):  # one at a time, as the words of a batch would fill the memory
+            seen = look(text)
+            scores[i], cast[i] = scorer.score(features(seen, memo)), votes(seen)
+        return pd.DataFrame({"score": scores, "posterior": labels.posterior(cast), "keep": scores >= threshold})
 
     return docs.withColumn(VERDICT, judge(docs[text]))
 

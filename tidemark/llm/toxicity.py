@@ -128,13 +128,15 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str) -> Model:
     chosen = marked.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < part)
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("text").to_pylist()
-            found = [sorted(features(x)) for x in texts]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("toxic"), pa.array([sketch(x) for x in texts], pa.int64()), pa.array(found, pa.list_(pa.string()))],
-                ["toxic", "sketch", "features"],
-            )
+        for whole in batches:
+            for i in range(0, whole.num_rows, 256):  # the words of all documents of a batch would fill the memory
+                batch = whole.slice(i, 256)
+                texts = batch.column("text").to_pylist()
+                found = [sorted(features(x)) for x in texts]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("toxic"), pa.array([sketch(x) for x in texts], pa.int64()), pa.array(found, pa.list_(pa.string()))],
+                    ["toxic", "sketch", "features"],
+                )
 
     # the sample's keys are broadcast: SAMPLE bounds them
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(chosen), F.col("key") == F.col("label_id"))
