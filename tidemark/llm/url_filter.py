@@ -47,7 +47,7 @@ def word(verdict: str, token: str) -> Rule:
 
 #: Words that mark adult, gambling, drug and link-farm sites or pages without prose.
 WORDS = (
-    "porn xxx sexcam escort casino poker betting jackpot viagra cialis payday warez keygen torrent"
+    "porn xxx adult sexcam escort casino poker betting jackpot viagra cialis pills payday warez keygen torrent"
     " login signin signup logout register cart checkout wishlist unsubscribe"
 ).split()
 DEFAULT = "allow"
