@@ -131,20 +131,25 @@ weeks AS (
          inc FROM continent_days)"""
 )
 
-TOP_MEANS = MONTHLY_TOP + """, top_means AS (
+NEAREST = """c[list_position(list_transform(c, lambda v: abs(v - y)), list_min(list_transform(c, lambda v: abs(v - y))))]"""
+
+
+def _top_means(k: int) -> str:
+    return BY_PLACE + ", " + _slopes("changes", "m", "increase", k) + """, top_means AS (
   SELECT rank, country, province, slope, m, month, mean FROM means JOIN steepest USING (country, province)),
 scaled AS (
   SELECT *, CASE WHEN max(mean) OVER w = min(mean) OVER w THEN CAST(0 AS DOUBLE)
                  ELSE (mean - min(mean) OVER w) / (max(mean) OVER w - min(mean) OVER w) END AS scaled
   FROM top_means WINDOW w AS (PARTITION BY month))"""
 
-NEAREST = """c[list_position(list_transform(c, lambda v: abs(v - y)), list_min(list_transform(c, lambda v: abs(v - y))))]"""
-CLUSTERS = TOP_MEANS + f""", points AS (
+
+def _clusters(k: int, ranks: tuple[int, ...]) -> str:
+    """Clusters of the ``k`` steepest places, started by the places of these ranks."""
+    return _top_means(k) + f""", points AS (
   SELECT *, CAST(floor(scaled * CAST(1e12 AS DOUBLE) + CAST(0.5 AS DOUBLE)) AS BIGINT) AS steps FROM scaled),
 grid AS (SELECT *, CAST(steps AS DOUBLE) / CAST(1e12 AS DOUBLE) AS y FROM points),
 state(round, month, c, avg_c, done) AS (
-  SELECT 0, month, [max(y) FILTER (rank = 13), max(y) FILTER (rank = 39), max(y) FILTER (rank = 30),
-                    max(y) FILTER (rank = 45)], CAST(NULL AS DOUBLE), false
+  SELECT 0, month, [{', '.join(f"max(y) FILTER (rank = {r})" for r in ranks)}], CAST(NULL AS DOUBLE), false
   FROM grid GROUP BY month
   UNION ALL
   SELECT round + 1, month, moved, (moved[1] + moved[2] + moved[3] + moved[4]) / 4,
@@ -162,6 +167,13 @@ clustered AS (
   SELECT rank, country, province, slope, m, month, mean,
          CAST(dense_rank() OVER (PARTITION BY month ORDER BY near) - 1 AS INTEGER) AS cluster FROM near)"""
 
+
+TOP_MEANS = _top_means(50)
+# The draws of four from 50, 20 and 90 with the seed 42.
+CLUSTERS = _clusters(50, (13, 39, 30, 45))
+FEW_CLUSTERS = _clusters(20, (0, 17, 15, 1))
+MANY_CLUSTERS = _clusters(90, (40, 22, 55, 70))
+
 CROSS = "({1}.x - {0}.x) * ({2}.y - {0}.y) - ({1}.y - {0}.y) * ({2}.x - {0}.x)"
 HULL = CLUSTERS + f""", dots AS (
   SELECT DISTINCT month, cluster, CAST(slope AS DOUBLE) AS x, mean AS y FROM clustered),
@@ -274,6 +286,20 @@ report AS (
   SELECT 'least', CAST(row_number() OVER (ORDER BY total, country) - 1 AS INTEGER), * FROM totals)""",
             "SELECT side, rank, country, total, month, mean FROM report JOIN c_means USING (country) WHERE rank < 10",
         ),
+        "most_least_transposed": _with(
+            BY_COUNTRY
+            + f""", totals AS (SELECT country, cum AS total FROM country_panel WHERE {last}),
+report AS (
+  SELECT 'most_' || (row_number() OVER (ORDER BY total DESC, country) - 1) AS place, country FROM totals
+  UNION ALL
+  SELECT 'least_' || (row_number() OVER (ORDER BY total, country) - 1), country FROM totals)""",
+            f"""SELECT {short_label} AS label,
+       {_pivot('place', [f'{side}_{i}' for side in ('most', 'least') for i in range(10)], 'mean')}
+FROM report JOIN c_means USING (country) GROUP BY label""",
+        ),
+        "kept_entities": _with(
+            BY_COUNTRY, "SELECT country, month, mean FROM c_means WHERE country IN ('NATION_3', 'NATION_11', 'NATION_19')"
+        ),
         "total_by_country": _with(
             PANEL + ", " + COUNTRY, f"SELECT country, cum AS total FROM country_panel WHERE {last}"
         ),
@@ -329,6 +355,8 @@ FROM c_means JOIN c_ends USING (country, m)""",
         ),
         "minmax_scaled": _with(TOP_MEANS, "SELECT country, province, month, scaled FROM scaled"),
         "kmeans_by_month": _with(CLUSTERS, "SELECT rank, country, province, month, cluster FROM clustered", True),
+        "kmeans_few_places": _with(FEW_CLUSTERS, "SELECT rank, country, province, month, cluster FROM clustered", True),
+        "kmeans_many_places": _with(MANY_CLUSTERS, "SELECT rank, country, province, month, cluster FROM clustered", True),
         "cluster_matrix": _with(
             CLUSTERS,
             f"""SELECT rank, country, province, slope, {_pivot("strftime(m, '%m/%y')", long, 'cluster')}

@@ -57,6 +57,18 @@ def test_write_all(spark, panel_file, tmp_path):
     assert set(weekly["week"]) == set(range(1, 16))
     assert (weekly["min"] <= weekly["mean"]).all() and (weekly["mean"] <= weekly["max"]).all()
 
+    turned = read(f"{out}/monthly_mean_transposed").set_index("month")
+    pd.testing.assert_frame_equal(turned.T.sort_index().sort_index(axis=1), expected.sort_index().sort_index(axis=1), check_names=False)
+    chosen = read(f"{out}/most_least_transposed").set_index("month")
+    assert set(chosen.columns) == set(listed["country"])
+    pd.testing.assert_frame_equal(chosen.sort_index(axis=1).sort_index(), turned[sorted(chosen.columns)].sort_index())
+    steepest = read(f"{out}/steepest")
+    assert len(steepest) == 60 and steepest["slope"].is_monotonic_decreasing
+    increases = read(f"{out}/daily_increase")
+    assert increases["inc"].sum() == daily["inc"].sum() and len(increases) == 60 * 99
+    assert len(read(f"{out}/level_mean")) == 60
+    assert len(read(f"{out}/steepest_increases")) == 50
+
     clusters = read(f"{out}/clusters")
     assert list(clusters.columns[-4:]) == ["01/20", "02/20", "03/20", "04/20"] and len(clusters) == 50
     assert clusters["linear_coef"].is_monotonic_decreasing

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidemark.functions import dates
 from tidemark.functions.dates import label_of, month_of, parse_header
-from tidemark.functions.places import COUNTRY, LONG_NAMES, PLACE
+from tidemark.functions.places import COUNTRY, LONG_NAMES, PLACE, PROVINCE
 from tidemark.operators import joins, panel as panels, reshape, wide
 from tidemark.operators.weekly import weekly_stats
 from tidemark.plans import clusters, monthly, trends
@@ -33,23 +34,37 @@ def cluster_table(clustered: DataFrame, locations: DataFrame, days: list[str]) -
 
 
 def write_all(spark: SparkSession, path: str, out: str) -> None:
-    """Read the file once, keep it as a long table, and write every report below ``out``."""
-    data = read_wide(spark, path)
+    """Parse the file once, keep it as a table, and write every report below ``out``."""
+    data = settle(read_wide(spark, path), "wide")
     headers, days = wide.split_columns(data)
     last = F.lit(parse_header(days[-1]))
     long = settle(reshape.days_to_long(data, headers).withColumnsRenamed(LONG_NAMES), "long")
     panel, locations = long.select(*PLACE, "date", "cum"), data.select(*[wide.col(h) for h in headers])
     locations = locations.withColumnsRenamed(LONG_NAMES).select(*PLACE, "lat", "lon")
 
-    write_csv(monthly_table(data), f"{out}/monthly_mean")
+    months = [label_of(parse_header(d)) for d in wide.month_ends(days)]
+    table = settle(monthly_table(data), "monthly")
+    write_csv(table, f"{out}/monthly_mean")
+    countries = [r[0] for r in table.select(wide.col(COUNTRY)).orderBy(wide.col(COUNTRY)).collect()]  # they become columns
+    by_month = reshape.to_long(table, [COUNTRY], "month", "mean").select(wide.col(COUNTRY).alias("country"), "month", "mean")
+    write_csv(reshape.to_wide(by_month, ["month"], "country", countries, "mean"), f"{out}/monthly_mean_transposed")
     totals = panels.sum_by(panels.on_last_day(panel, last), ["country"])
-    listed = monthly.most_and_least(totals, "country", "cum", LISTED)
+    listed = settle(monthly.most_and_least(totals, "country", "cum", LISTED), "listed")
     write_csv(listed.select("side", "rank", "country", "cum"), f"{out}/most_least")
+    named = [r[0] for r in listed.orderBy(F.desc("side"), "rank").select("country").collect()]
+    chosen = joins.keep(by_month, listed.select("country"), ["country"])
+    write_csv(reshape.to_wide(chosen, ["month"], "country", list(dict.fromkeys(named)), "mean"), f"{out}/most_least_transposed")
+    write_csv(wide.level_mean(data, [COUNTRY, PROVINCE], days), f"{out}/level_mean")
+    steepest = trends.steepest_daily(panel, PLACE)
+    write_csv(steepest.select("rank", *PLACE, "slope").orderBy("rank"), f"{out}/steepest")
+    write_csv(panels.increase(panel, PLACE), f"{out}/daily_increase")
+    increases = clusters.steepest_increases(panel, PLACE).withColumn("label", dates.month_label(F.col("month")))
+    write_csv(reshape.to_wide(increases, ["rank", *PLACE, "slope"], "label", months, "increase"), f"{out}/steepest_increases")
     daily = settle(trends.continent_daily(panel, locations, PLACE), "daily")
     write_csv(daily.orderBy("continent", "date"), f"{out}/continent_daily")
     write_csv(weekly_stats(daily, "continent").orderBy("continent", "week"), f"{out}/continent_weekly")
     clustered = settle(clusters.by_month(panel, PLACE), "clustered")
     write_csv(cluster_table(clustered, locations, days), f"{out}/clusters")
     write_csv(clusters.hulls(clustered.where(F.col("month") == month_of(last))), f"{out}/hulls")
-    dates = spark.createDataFrame([(parse_header(days[0]), parse_header(days[-1]))], "start date, end date")
-    write_csv(panels.calendar(dates), f"{out}/dates")
+    bounds = spark.createDataFrame([(parse_header(days[0]), parse_header(days[-1]))], "start date, end date")
+    write_csv(panels.calendar(bounds), f"{out}/dates")

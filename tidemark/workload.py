@@ -22,6 +22,7 @@ from tidemark.session import new_folder
 from tidemark.sources import tables, wide_csv
 
 RENAMES = {"NATION_7": "NATION_8"}  # a label folded into another one
+KEPT = ("NATION_3", "NATION_11", "NATION_19", "NATION_99")  # a list as a caller gives it
 REPORT = 10  # length of the most / least affected lists
 
 
@@ -111,10 +112,12 @@ def monthly_mean_wide(spark: SparkSession, root: str) -> DataFrame:
 
 
 def monthly_mean_transposed(spark: SparkSession, root: str) -> DataFrame:
-    """Months as rows and countries as columns; the names come from the nation table."""
+    """Months as rows and countries as columns; the names, which become columns, come from the nation table."""
     names = tables.table(spark, root, "nation").select("n_name").distinct().orderBy("n_name")
     countries = [row[0] for row in names.collect()]
-    return reshape.transpose(monthly_mean_wide(spark, root), "country", "label", countries)
+    means = monthly.mean_by_country(tables.order_panel(spark, root), PLACE)
+    labelled = means.select(dates.month_label(F.col("month")).alias("label"), "country", "mean")
+    return reshape.to_wide(labelled, ["label"], "country", countries, "mean")
 
 
 def most_least_affected(spark: SparkSession, root: str) -> DataFrame:
@@ -127,6 +130,22 @@ def most_least_affected(spark: SparkSession, root: str) -> DataFrame:
     return both.select("side", "rank", "country", F.col("cum").alias("total"), _month(), "mean")
 
 
+def most_least_transposed(spark: SparkSession, root: str) -> DataFrame:
+    """Months as rows, the most and the least affected as columns named by side and rank."""
+    report = most_least_affected(spark, root).select(F.concat_ws("_", "side", "rank").alias("place"), "month", "mean")
+    month = F.to_date(F.concat("month", F.lit("-01")))
+    labelled = report.select(dates.month_label(month).alias("label"), "place", "mean")
+    places = [f"{side}_{i}" for side in ("most", "least") for i in range(REPORT)]
+    return reshape.to_wide(labelled, ["label"], "place", places, "mean")
+
+
+def kept_entities(spark: SparkSession, root: str) -> DataFrame:
+    """Monthly means of the countries that a caller lists; names without data give no row."""
+    panel = tables.order_panel(spark, root)
+    kept = joins.keep(panel, spark.createDataFrame([(name,) for name in KEPT], "country string"), ["country"])
+    return monthly.mean_by_country(kept, PLACE).select("country", _month(), "mean")
+
+
 def total_by_country(spark: SparkSession, root: str) -> DataFrame:
     last = panels.on_last_day(tables.order_panel(spark, root), tables.last_order_day(spark, root))
     return panels.sum_by(last, ["country"]).select("country", F.col("cum").alias("total"))
@@ -260,6 +279,18 @@ def kmeans_by_month(spark: SparkSession, root: str) -> DataFrame:
     return _clustered(spark, root).select("rank", *_place(), _month(), "cluster")
 
 
+def kmeans_few_places(spark: SparkSession, root: str) -> DataFrame:
+    """Fewer places than the usual report."""
+    clustered = clusters.by_month(tables.order_panel(spark, root), PLACE, 20)
+    return clustered.select("rank", *_place(), _month(), "cluster")
+
+
+def kmeans_many_places(spark: SparkSession, root: str) -> DataFrame:
+    """Far more places than the usual report."""
+    clustered = clusters.by_month(tables.order_panel(spark, root), PLACE, 90)
+    return clustered.select("rank", *_place(), _month(), "cluster")
+
+
 def cluster_matrix(spark: SparkSession, root: str) -> DataFrame:
     labels = [f"{m:%m/%y}" for m in dates.months_between(*_range(spark, root))]
     rows = _clustered(spark, root).select(
@@ -328,6 +359,8 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     monthly_mean_wide,
     monthly_mean_transposed,
     most_least_affected,
+    most_least_transposed,
+    kept_entities,
     total_by_country,
     total_by_province,
     relabel_entities,
@@ -347,6 +380,8 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     top50_monthly_increase,
     minmax_scaled,
     kmeans_by_month,
+    kmeans_few_places,
+    kmeans_many_places,
     cluster_matrix,
     cluster_text,
     cluster_hull,
