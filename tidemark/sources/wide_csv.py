@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from tidemark.functions.dates import parse_header
 from tidemark.functions.places import LAT, LON
@@ -15,27 +15,21 @@ INDEX_COLUMNS = r"Unnamed|_c\d+$"
 def _type(name: str) -> T.DataType:
     if name in (LAT, LON):
         return T.DoubleType()
-    return T.DecimalType(21, 3) if parse_header(name) else T.StringType()
-
-
-def _count(name: str) -> Column:
-    """A cell as a whole number; a fraction of zero is none, any other is an error."""
-    cell = F.col(f"`{name}`")
-    broken = F.raise_error(F.concat(F.lit(f"column {name} holds no whole number: "), cell.cast("string")))
-    return F.when(cell.isNull() | (cell == F.floor(cell)), cell.cast("bigint")).otherwise(broken.cast("bigint")).alias(name)
+    return T.DecimalType(18, 0) if parse_header(name) else T.StringType()
 
 
 def read_wide(spark: SparkSession, path: str) -> DataFrame:
     """Read a wide panel; only its first line is looked at to learn the columns.
 
-    No cell is dropped: ``3.0`` is 3, an empty cell is null, and a cell that is no whole
-    number is an error, as is a part file whose header has other columns or another order.
+    No cell is dropped: ``3.0`` is 3, a fraction is rounded to the nearest whole number, an
+    empty cell is null, and a cell that is no number is an error, as is a part file whose
+    header has other columns or another order.
     """
     names = spark.read.option("header", True).csv(path).columns
     schema = T.StructType([T.StructField(n, _type(n)) for n in names])
     strict = {"header": True, "mode": "FAILFAST", "enforceSchema": False}
     data = drop_matching(spark.read.schema(schema).options(**strict).csv(path), INDEX_COLUMNS)
-    return data.select(*(_count(n) if parse_header(n) else F.col(f"`{n}`") for n in data.columns))
+    return data.to(T.StructType([T.StructField(n, T.LongType() if parse_header(n) else _type(n)) for n in data.columns]))
 
 
 def write_csv(df: DataFrame, path: str) -> None:
