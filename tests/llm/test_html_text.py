@@ -32,6 +32,7 @@ def text(source):
         ("<p>open <b>bold<br><p>next</article> stray</b> <i", "open bold next stray"),
         ("<textarea>t</textarea><script>never closed <p>x", ""),
         ("<article class='comment'>c</article><article>real</article>", "real"),
+        ("<div class='side-bar'>s</div><div id=ads2>a</div><div class='pop_up box'>p</div><div class=sideways>keep</div>", "keep"),
     ],
 )
 def test_pages(source, wanted):

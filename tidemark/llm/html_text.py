@@ -128,7 +128,12 @@ class Page:
         attributes: dict[str, str] = {}
         for key, *values in ATTRIBUTE.findall(written):
             attributes.setdefault(key.lower(), next((v for v in values if v), ""))
-        marks = re.split("[^a-z0-9]+", (attributes.get("class", "") + " " + attributes.get("id", "")).lower())
+        names = (attributes.get("class", "") + " " + attributes.get("id", "")).lower()
+        marks = set()
+        if not names.isspace():
+            # words, and names without what separates their words: side-bar is a sidebar; numbers at the end tell nothing
+            whole = [re.sub("[^a-z0-9]+", "", x) for x in names.split()]
+            marks = {x.rstrip("0123456789") for x in [*re.split("[^a-z0-9]+", names), *whole]}
         role = attributes.get("role", "").lower()
         main = above.main or not above.dropped and (name in ("article", "main") or role == "main" or attributes.get("itemprop") == "articleBody")
         dropped = above.dropped or name in DROPPED or role in ROLES or "hidden" in attributes
