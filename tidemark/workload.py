@@ -80,8 +80,7 @@ def header_names(spark: SparkSession, root: str) -> DataFrame:
 
 def months_present(spark: SparkSession, root: str) -> DataFrame:
     days = panels.calendar(tables.order_range(spark, root))
-    months = days.select(dates.month_of(F.col("date")).alias("month")).distinct().orderBy("month")
-    return months.select(_month(), dates.month_label(F.col("month")).alias("label"))
+    return buckets.months(days).select(_month(), dates.month_label(F.col("month")).alias("label"))
 
 
 # --- months
