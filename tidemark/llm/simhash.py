@@ -180,7 +180,11 @@ def firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     hashed = F.xxhash64(F.col(text))
     named = docs.select(F.col(key).alias("key"), hashed.alias("hash"), fingerprint_column(text, size).alias("print"))
     named = settle(named, "fingerprints")
-    roots = memberships(named.select("print"), radius)
+    return chosen_rows(docs, named, memberships(named.select("print"), radius), key, text)
+
+
+def chosen_rows(docs: DataFrame, named: DataFrame, roots: DataFrame, key: str, text: str) -> DataFrame:
+    """The rows that ``firsts`` takes, by ``named`` (``key``, ``hash``, ``print`` of all) and ``roots`` (``print``, ``root``)."""
     order = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("hash"))
     best = named.groupBy("print").agg(F.min(order).alias("best")).join(roots, "print").groupBy("root").agg(F.min("best").alias("best"))
     repeats = named.groupBy(F.col("key").alias("k"), F.col("hash").alias("h")).agg(F.count("*").alias("__rows"))
