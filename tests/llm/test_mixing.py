@@ -54,6 +54,18 @@ def test_balanced(spark, monkeypatch):
     assert Counter(map(key, again)) == Counter(map(key, got))
 
 
+def test_many_sources(spark):
+    rows = [(i, f"host{i}", 10, None, None, None) for i in range(10_000)]
+    rows += [(i, "large", 1 + i % 7, None, None, None) for i in range(9_000)]
+    got = mixed(spark, rows).collect()
+    assert len(got) == len(rows)
+    words, target = Counter(), {}
+    for r in got:
+        words[r.source] += r.copies * r.size
+        target[r.source] = r.target
+    assert len(target) == 10_001 and all(abs(words[s] - t) <= 10 for s, t in target.items())
+
+
 def test_chances_are_kept():
     import random
 

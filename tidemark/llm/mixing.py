@@ -77,11 +77,11 @@ def _land(chances: list[float], sizes: list[float]) -> list[float]:
     )
 
 
-def _flight(last: bool, level: int):
-    """Settle the chances of each block and source; ``last``: also of the one or two that remain."""
+def _flight(level: int):
+    """Settle the chances of each block and source; where ``last`` also of the one or two that remain."""
 
     def settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, rng = None, random.Random()
+        name, rng, last = None, random.Random(), False
         active: list[tuple[pa.RecordBatch, int]] = []
         sizes: list[float] = []
         chances: list[float] = []
@@ -115,11 +115,11 @@ def _flight(last: bool, level: int):
             done.clear()
 
         for batch in batches:
-            blocks, ranks, own, before = (batch.column(c).to_pylist() for c in ("block", "rank", "size", "chance"))
+            blocks, ranks, own, before, lasts = (batch.column(c).to_pylist() for c in ("block", "rank", "size", "chance", "last"))
             for i, key in enumerate(zip(blocks, ranks)):
                 if key != name:
                     close()
-                    name, rng = key, random.Random(f"{SEED} {level} {key[0]} {key[1]}")
+                    name, rng, last = key, random.Random(f"{SEED} {level} {key[0]} {key[1]}"), lasts[i]
                 active.append((batch, i))
                 sizes.append(float(own[i]))
                 chances.append(before[i])
@@ -139,19 +139,22 @@ def balanced(rows: DataFrame, level: int = 0) -> DataFrame:
     """``rows`` with every ``chance`` settled to 0 or 1, balanced within each ``rank``.
 
     ``rows`` has ``rank`` (of the source), ``size``, ``chance`` and ``row`` (anything).
-    Rows are dealt by hash into blocks of about ``BLOCK``; a block leaves at most two
-    fractional chances of a source. Those are dealt again, until they fit one block,
-    which lands them. A source is spread over all blocks, so a dominant one is no
-    larger task than others; a block is a stretch of a sorted partition that streams,
-    so even repeats of one row need no memory. Blocks, order and random numbers follow
-    from the rows alone: reruns agree under any partitioning.
+    The rows of a source are dealt by hash into blocks of about ``BLOCK``, which leave
+    at most two fractional chances each. Those are dealt again; a source lands as soon as
+    its own rows fit one block, however many other sources there are. A dominant source
+    is spread over its blocks, so it is no larger task than others; a block is a stretch
+    of a sorted partition that streams, so even repeats of one row need no memory. Blocks,
+    order and random numbers follow from the rows alone: reruns agree under any partitioning.
     """
-    blocks = max(1, -(-rows.count() // BLOCK))
+    counts = rows.groupBy("rank").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    counts = settle(counts.withColumnRenamed("rank", "of"), "blocks")
+    most = counts.agg(F.max("blocks")).first()[0] or 0
     mark = F.xxhash64("row", F.lit(SEED + level))
-    dealt = rows.withColumn("mark", mark).withColumn("block", F.pmod("mark", F.lit(blocks)).cast("int"))
-    dealt = dealt.repartition("block").sortWithinPartitions("block", "rank", F.xxhash64("mark", F.lit(SEED)), "mark")
-    out = settle(dealt.mapInArrow(_flight(blocks == 1, level), dealt.schema).drop("mark", "block"), "flight")
-    if blocks == 1:
+    dealt = rows.withColumn("mark", mark).join(counts, F.col("rank") == F.col("of"))
+    dealt = dealt.withColumn("block", F.pmod("mark", "blocks").cast("int")).withColumn("last", F.col("blocks") == 1).drop("of", "blocks")
+    dealt = dealt.repartition("rank", "block").sortWithinPartitions("rank", "block", F.xxhash64("mark", F.lit(SEED)), "mark")
+    out = settle(dealt.mapInArrow(_flight(level), dealt.schema).drop("mark", "block", "last"), "flight")
+    if most <= 1:
         return out
     over = F.col("chance").isin(0.0, 1.0)
     return out.where(over).union(balanced(out.where(~over), level + 1))
