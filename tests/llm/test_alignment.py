@@ -1,0 +1,81 @@
+import hashlib
+import random
+from collections import Counter
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tidemark.llm import alignment
+from tidemark.llm.packing import PLAIN_BYTES
+from tokenizers import Tokenizer
+
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+def by_hand(rows):
+    """All token pairs of each text compared by their byte ranges."""
+    first = Tokenizer.from_file(A)
+    first.encode_special_tokens = True
+    second = sentencepiece.SentencePieceProcessor(model_file=B)
+    others = [b for b in range(256) if b not in PLAIN_BYTES]
+    byte = {chr(b): b for b in PLAIN_BYTES} | {chr(256 + i): b for i, b in enumerate(others)}
+    linked, out, docs = [], [], Counter()
+    for key, text in rows:
+        spans = [[], []]
+        if text:
+            a = [(i, bytes(byte[c] for c in first.id_to_token(i))) for i in first.encode(" " + text, add_special_tokens=False).ids]
+            b = [(i, bytes([int(p[3:5], 16)]) if second.is_byte(i) else p.replace("▁", " ").encode())
+                 for i, p in ((i, second.id_to_piece(i)) for i in second.encode(text))]
+            if b"".join(x for _, x in a) == b"".join(x for _, x in b) == b" " + text.encode():
+                for side, tokens in zip(spans, (a, b)):
+                    at = 0
+                    for i, x in tokens:
+                        side.append((i, at, at + len(x)))
+                        at += len(x)
+        cuts = sorted({e for *_, e in spans[0]} & {e for *_, e in spans[1]})
+        groups = [[",".join(str(i) for i, s, e in side if low <= s and e <= high) for side in spans] for low, high in zip([0, *cuts], cuts)]
+        pairs = [(i, j) for i, s, e in spans[0] for j, p, q in spans[1] if s < q and p < e]
+        linked.append(pairs)
+        docs.update(set(pairs))
+        written = ";".join("|".join(g) for g in groups)
+        out.append((key, len(spans[0]), len(spans[1]), len(cuts), len(pairs), hashlib.sha256(written.encode()).hexdigest() if groups else ""))
+    most = {}
+    for (i, _), n in docs.items():
+        most[i] = max(most.get(i, 0), n)
+    scored = [(sum(docs[p] == most[p[0]] for p in pairs), sum(docs[p] for p in pairs)) for pairs in linked]
+    return sorted(((*x[:5], *s, x[5]) for x, s in zip(out, scored)), key=str)
+
+
+ODD = [
+    None, "", " ", "  two  spaces ", "a", "\n\n\ttabs\r\n", "café naïve 日本語 नमस्ते \U0001f600\U0001f468‍\U0001f469",
+    "under▁score", "<|endoftext|> and </s> <s> <unk> <0x41>", "é ﬁ ① Ａ", "\x00\x01\x7f", "a" * 3000, " 　 x", "1234567890" * 30,
+    "don't we'll I'm they've", "﻿bom", "�", "\U0010ffff",
+]
+
+
+@pytest.mark.parametrize("few", [alignment.FEW, 0])
+def test_against_all_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(alignment, "CHARS", 500)
+    rng = random.Random(5)
+    rows = [(i, x) for i, x in enumerate(ODD)] + [(100 + i, "".join(rng.choice("ab \n.,é日'1A") for _ in range(rng.randint(1, 80)))) for i in range(150)]
+    rows += [(3, "don't we'll I'm they've"), (3, "other"), (None, "a"), (None, None)]
+    table = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, row int, pairs string")
+    got = alignment.aligned(table, A, B, few=few)
+    assert got.columns == COLUMNS
+    assert sorted((tuple(r) for r in got.collect()), key=str) == by_hand(rows)
+    assert alignment.aligned(table.limit(0), A, B).collect() == []
+
+
+def test_documents(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("n_chars < 4000").select("doc_id", "text").collect()]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = sorted((tuple(r) for r in alignment.aligned(table, A, B).collect()), key=str)
+    assert got == by_hand(rows) and sum(r[1] for r in got) > 10_000
+
+
+def test_long_text(spark):
+    text = "the old man and the sea " * 60_000
+    table = spark.createDataFrame([(1, text), (2, "the old")], "doc_id long, text string")
+    rows = {r.doc_id: r for r in alignment.aligned(table, A, B).collect()}
+    assert rows[1].n_links == rows[1].n_a + rows[1].n_b - rows[1].n_groups and rows[1].n_a > 300_000
