@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import html_text, licences, mixing, neighbours, packing, quality, simhash, top_k, toxicity, url_filter
+from tidemark.llm import alignment, html_text, licences, mixing, neighbours, packing, prefix_trie, quality, simhash, top_k, toxicity, url_filter, vector_links
 
 
 def read(spark: SparkSession, root: str, table: str) -> DataFrame:
@@ -84,7 +84,24 @@ def op10_top_k(spark: SparkSession, root: str) -> DataFrame:
     return top_k.top_k(read(spark, root, "embeddings"), lambda key: key % 50 == 0)
 
 
-QUERIES = [op1_html, op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op8_licences, op9_neighbours, op10_top_k]
+def op11_links(spark: SparkSession, root: str) -> DataFrame:
+    """Links of cosine 0.9 or more and component of every vector."""
+    return vector_links.linked(read(spark, root, "embeddings"), least=0.9)
+
+
+def op12_alignment(spark: SparkSession, root: str) -> DataFrame:
+    """Aligned groups and links of the byte-level and the piece tokens of every document."""
+    import public_tokenizers
+
+    return alignment.aligned(read(spark, root, "documents"), byte_bpe(), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_trie(spark: SparkSession, root: str) -> DataFrame:
+    """The trie of all rebuilt conversations by their first turns."""
+    return prefix_trie.trie(read(spark, root, "conversations"))
+
+
+QUERIES = [op1_html, op2_quality, op3_simhash, op4_toxicity, op5_packing, op6_mixing, op7_url_filter, op8_licences, op9_neighbours, op10_top_k, op11_links, op12_alignment, op13_trie]
 
 OP7_SQL = """
 with cut as (
@@ -129,4 +146,68 @@ from scored
 qualify rank <= 5
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_url_filter": OP7_SQL, "op10_top_k": OP10_SQL}
+OP11_SQL = """
+with recursive numbered as (
+    select row_number() over () as nr, vec_id, [x::double for x in embedding] as v from embeddings
+), good as (
+    select * from numbered
+    where len(v) > 0 and len([x for x in v if x is null or not isfinite(x)]) = 0 and len([x for x in v if x <> 0]) > 0
+), links as (
+    select a.nr as a, b.nr as b from good a join good b on a.nr <> b.nr
+    where list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v))) >= 0.9
+), reach as (
+    select nr as a, nr as b from numbered
+    union
+    select r.a, l.b from reach r join links l on r.b = l.a
+), least as (
+    select r.a as nr, min(n.vec_id) as component_id from reach r join numbered n on r.b = n.nr group by r.a
+), counts as (
+    select a as nr, count(*) as n_links from links group by a
+)
+select vec_id, coalesce(n_links, 0)::bigint as n_links, component_id, vec_id is not distinct from component_id as kept
+from numbered join least using (nr) left join counts using (nr)
+"""
+
+OP13_SQL = """
+with placed as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+           row_number() over (partition by conv_id order by turn nulls first, role nulls first, text) as pos
+    from conversations where conv_id is not null
+), own as (
+    select conv_id, list({'role': role, 'text': text} order by pos) as turns from placed group by conv_id
+), heads as (
+    select conv_id, turns, conv_id - conv_id % 100 as base, xor(4294967295::bigint, list_reduce(
+        list_prepend(4294967295::bigint, [ascii(c)::bigint for c in string_split(conv_id::varchar, '')]),
+        lambda crc, c: list_reduce(
+            list_prepend(xor(crc, c), [0::bigint, 0, 0, 0, 0, 0, 0, 0]),
+            lambda s, i: case when s % 2 = 1 then xor(s // 2, 3988292384::bigint) else s // 2 end
+        )
+    )) % 6 as h
+    from own
+), rebuilt as (
+    select c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) as turns
+    from heads c left join own b on c.base = b.conv_id
+), prefixes as (
+    select conv_id, turns[1:d] as node, d, d = len(turns) as ends
+    from (select conv_id, turns, unnest(range(len(turns) + 1)) as d from rebuilt)
+), nodes as (
+    select node, d as depth, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+    from prefixes group by node, d
+), kids as (
+    select n.*, p.conv_id as parent_conv_id, coalesce(k.n_children, 0) as n_children
+    from nodes n
+    left join nodes p on n.depth > 0 and p.depth = n.depth - 1 and p.node = n.node[1:n.depth - 1]
+    left join (select depth - 1 as depth, node[1:depth - 1] as node, count(*) as n_children from nodes where depth > 0 group by all) k
+        on k.depth = n.depth and k.node = n.node
+), sums as (
+    select node[1:a] as node, a as depth, sum((n_children = 0)::bigint) as n_leaves,
+           sum(case when depth > 0 then (n_convs - 1) * length(node[depth].text) else 0 end) as saved_tokens
+    from (select *, unnest(range(depth + 1)) as a from kids) group by 1, 2
+)
+select k.conv_id, k.depth::bigint as depth, k.parent_conv_id, k.n_convs, k.n_children::bigint as n_children,
+       s.n_leaves::bigint as n_leaves, s.saved_tokens::bigint as saved_tokens, k.ends_sha256
+from kids k join sums s on k.depth = s.depth and k.node = s.node
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_url_filter": OP7_SQL, "op10_top_k": OP10_SQL, "op11_links": OP11_SQL, "op13_trie": OP13_SQL}
