@@ -17,6 +17,7 @@ WIDEST = 2.0  # no two unit vectors lie further apart
 ROWS = 256  # centres that are chosen, or compared, at a time
 COLUMNS = 2_048
 PAIRS = 32_768  # pairs whose cosines are worked out at a time
+FEW = 16  # points of a ball that is not worth a node of its own: it could exclude little
 MARGIN = 1e-6  # pairs this close to a bound are compared one by one
 
 
@@ -60,7 +61,8 @@ def build(points: np.ndarray, small: float) -> tuple[np.ndarray, Tree]:
     """Order of the points and the tree over it.
 
     The radius of a level is half of the level's above; a node passes over levels that
-    would not divide it, and is a leaf once all its points lie within ``small`` of its centre.
+    would not divide it, and is a leaf once all its points lie within ``small`` of its centre. A wide
+    ball of few points passes over all levels: its leaves hang on the node above it.
     """
     order = np.arange(len(points))
     first, last, child, childs, radius = [0], [len(points)], [0], [0], [_reach(points)]
@@ -70,6 +72,7 @@ def build(points: np.ndarray, small: float) -> tuple[np.ndarray, Tree]:
         while level >= radius[node] > small:
             level /= 2
         parts = _split(points, order[first[node] : last[node]], level) if radius[node] > small else []
+        parts = [leaf for part in parts for leaf in (_split(points, part, small) if 1 < len(part) < FEW else [part])]
         if len(parts) > 1:
             child[node], childs[node] = len(first), len(first) + len(parts)
             at = first[node]
@@ -95,13 +98,15 @@ class Side:
         self.unit = self.raw / self.norm[:, None]
         self.rough = self.unit.astype(np.float32)
 
-    def parts(self, node: int) -> np.ndarray:
-        """The node's children, or a leaf itself, narrow ones first."""
+    def parts(self, nodes: np.ndarray) -> np.ndarray:
+        """The nodes' children, of a leaf itself, narrow ones first."""
         tree = self.tree
-        if not tree.childs[node]:
-            return np.array([node])
-        nodes = np.arange(tree.child[node], tree.childs[node])
-        return nodes[np.argsort(tree.radius[nodes], kind="stable")]
+        inner = nodes[tree.childs[nodes] > 0]
+        found = np.concatenate([nodes[tree.childs[nodes] == 0], *(np.arange(tree.child[n], tree.childs[n]) for n in inner)])
+        return found[np.argsort(tree.radius[found], kind="stable")]
+
+    def single(self, nodes: np.ndarray) -> np.ndarray:
+        return self.tree.last[nodes] - self.tree.first[nodes] == 1
 
 
 class Links:
@@ -138,24 +143,28 @@ class Join:
         self.compared = 0
 
     def run(self) -> Links:
-        todo = [(0, 0)]
+        todo = [(np.zeros(1, int), np.zeros(1, int))]  # nodes of either side, each of which may hold links with each
         while todo:
-            i, j = todo.pop()
-            if not self.a.tree.childs[i] and not self.b.tree.childs[j]:
-                self._leaves(i, j)
-                continue
-            for x, y in self._near(i, j):
-                one = (self.a.tree.last[x] - self.a.tree.first[x] == 1) & (self.b.tree.last[y] - self.b.tree.first[y] == 1)
-                left, right = self.a.tree.first[x[one]], self.b.tree.first[y[one]]
+            for x, y in self._near(*todo.pop()):
+                one = self.a.single(x) & self.b.single(y)
+                self._points(self.a.tree.first[x[one]], self.b.tree.first[y[one]])
+                leaves = (self.a.tree.childs[x] == 0) & (self.b.tree.childs[y] == 0) & ~one
+                for i, j in zip(x[leaves].tolist(), y[leaves].tolist()):
+                    self._leaves(i, j)
+                x, y = x[~one & ~leaves], y[~one & ~leaves]
                 if self.a is self.b:
-                    left, right = left[left != right], right[left != right]
-                self._points(left, right)
-                todo += zip(x[~one].tolist(), y[~one].tolist())
+                    own = x == y
+                    todo += [(x[i : i + 1], x[i : i + 1]) for i in np.flatnonzero(own)]
+                    x, y = x[~own], y[~own]
+                wide = self.a.tree.childs[x] > 0
+                todo += [(np.array([i]), y[wide][x[wide] == i]) for i in np.unique(x[wide])]
+                todo += [(x[~wide][y[~wide] == j], np.array([j])) for j in np.unique(y[~wide])]
         return self.links
 
-    def _near(self, i: int, j: int):
-        """Pairs of parts of both nodes that may hold a link, in batches."""
-        left, right = self.a.parts(i), self.b.parts(j)
+    def _near(self, x: np.ndarray, y: np.ndarray):
+        """Pairs of parts of the nodes that may hold a link, in batches."""
+        same = self.a is self.b and np.array_equal(x, y)
+        left, right = self.a.parts(x), self.b.parts(y)
         ta, tb = self.a.tree, self.b.tree
         for p in range(0, len(left), ROWS):
             rows = left[p : p + ROWS]
@@ -166,11 +175,11 @@ class Join:
                 most = self.wanted + ta.radius[rows[-1]] + tb.radius[columns[-1]] + self.slack
                 r, c = np.nonzero(cosine >= 1 - most * most / 2)
                 far = np.sqrt(np.maximum(0, 2 - 2 * cosine[r, c].astype(float)))
-                x, y = rows[r], columns[c]
-                keep = far <= self.wanted + ta.radius[x] + tb.radius[y] + self.slack
-                if self.a is self.b and i == j:
-                    keep &= x <= y
-                yield x[keep], y[keep]
+                i, j = rows[r], columns[c]
+                keep = far <= self.wanted + ta.radius[i] + tb.radius[j] + self.slack
+                if same:
+                    keep &= (i < j) | (i == j) & ~self.a.single(i)
+                yield i[keep], j[keep]
 
     def _points(self, x: np.ndarray, y: np.ndarray) -> None:
         """Compare point by point, in double precision."""
