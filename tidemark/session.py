@@ -19,7 +19,7 @@ def local_session(cores: int | str = 8, name: str = "tidemark", **conf: str) ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
@@ -50,6 +50,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def discard(settled: DataFrame) -> None:
+    """Remove the files of a table that ``settle`` wrote and that nothing reads any more."""
+    spark = settled.sparkSession
+    for folder in {name.rpartition("/")[0] for name in settled.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return the written table.
 
