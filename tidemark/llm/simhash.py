@@ -21,6 +21,7 @@ SEED = 42
 TILE = 16_384  # fingerprints of a tile: 128 KiB
 RUN = 32  # tiles that a task compares with one other tile
 SLAB = 64  # rows compared at a time, so that the exclusive-or stays in the cache
+FEW = 500_000  # chosen rows that are sent to every executor, about 50 MB; more are shuffled
 HASHES = 8_192  # shingles whose bits are unpacked at a time
 
 
@@ -183,14 +184,22 @@ def firsts(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int =
     return chosen_rows(docs, named, memberships(named.select("print"), radius), key, text)
 
 
+def free_name(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    return name
+
+
 def chosen_rows(docs: DataFrame, named: DataFrame, roots: DataFrame, key: str, text: str) -> DataFrame:
     """The rows that ``firsts`` takes, by ``named`` (``key``, ``hash``, ``print`` of all) and ``roots`` (``print``, ``root``)."""
+    one, two, rows = (free_name(docs, n) for n in ("chosen_key", "chosen_hash", "rows"))
     order = F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("hash"))
     best = named.groupBy("print").agg(F.min(order).alias("best")).join(roots, "print").groupBy("root").agg(F.min("best").alias("best"))
-    repeats = named.groupBy(F.col("key").alias("k"), F.col("hash").alias("h")).agg(F.count("*").alias("__rows"))
+    repeats = named.groupBy(F.col("key").alias("k"), F.col("hash").alias("h")).agg(F.count("*").alias(rows))
     chosen = best.select("best.key", "best.hash").join(repeats, F.col("key").eqNullSafe(F.col("k")) & (F.col("hash") == F.col("h")))
-    chosen = settle(chosen.select(F.col("key").alias("__key"), F.col("hash").alias("__hash"), "__rows"), "firsts")
-    same = docs[key].eqNullSafe(chosen["__key"]) & (F.xxhash64(docs[text]) == chosen["__hash"])
-    found = docs.join(chosen, same)
-    single = found.where("__rows = 1").select(docs["*"])
-    return single.union(found.where("__rows > 1").select(docs["*"]).dropDuplicates([key, text]))
+    chosen = settle(chosen.select(F.col("key").alias(one), F.col("hash").alias(two), rows), "firsts")
+    chosen = F.broadcast(chosen) if chosen.count() <= FEW else chosen
+    found = docs.join(chosen, F.col(key).eqNullSafe(F.col(one)) & (F.xxhash64(F.col(text)) == F.col(two)))
+    single = found.where(F.col(rows) == 1).select(*docs.columns)
+    return single.union(found.where(F.col(rows) > 1).select(*docs.columns).dropDuplicates([key, text]))
