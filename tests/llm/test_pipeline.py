@@ -1,7 +1,7 @@
 from collections import Counter
 
 import corpus_pipeline
-from test_simhash import by_hand, roots
+from test_shingle_sets import by_hand
 from tidemark.llm import mixing, simhash
 from tidemark.llm.queries import byte_bpe
 from tokenizers import Tokenizer
@@ -23,8 +23,7 @@ def test_stages_on_the_table(spark):
     gone = {r.doc_id for r in clean} - {r.doc_id for r in good}
     assert len([i for i in gone if i in labels and labels[i].quality]) <= 2
     rows = sorted(good, key=lambda r: r.doc_id)
-    least = roots([by_hand(r.text, corpus_pipeline.SHINGLE) for r in rows])
-    assert sorted(r.doc_id for r in single) == sorted({rows[i].doc_id for i in least})
+    assert sorted(r.doc_id for r in single) == by_hand(rows)
     words, sizes = Counter(), Counter()
     for r in single:
         sizes[r.source] += len(r.text.encode().split())
@@ -39,10 +38,11 @@ def test_stages_on_the_table(spark):
 
 
 def test_repeats_nulls_and_names(spark):
-    names = "doc_id long, text string, lang string, source string, n_chars long, toxic int, keep string, __one string"
+    names = "doc_id long, text string, lang string, source string, n_chars long, toxic int, keep string, __one string, rows long, verdict string, chosen_key long, one string, rest int, Copy string"
     text = "the old man and the sea of the north are a story for all of us"
-    rows = [(3, text, "en", "a", 1, 5, "k", "o")] * 4 + [(None, text, "en", "a", 1, 5, "k", "o"), (1, text, "en", None, 1, 5, "k", "o")]
-    rows += [(None, None, None, None, None, None, None, None), (7, "", "", "b", 0, 0, "", ""), (8, None, "", "b", 0, 0, "", "")]
+    rows = [(3, text, "en", "a", 1, 5, "k", "o", 9, "v", 8, "1", 7, "c")] * 4 + [(None, text, "en", "a", 1, 5, "k", "o", 9, "v", 8, "1", 7, "c"), (1, text, "en", None, 1, 5, "k", "o", 9, "v", 8, "1", 7, "c")]
+    rest = (9, "v", 8, "1", 7, "c")
+    rows += [(None,) * 14, (7, "", "", "b", 0, 0, "", "", *rest), (8, None, "", "b", 0, 0, "", "", *rest)]
     docs = spark.createDataFrame(rows, names)
     got = sorted((r.doc_id, r.text) for r in simhash.firsts(docs).collect())
     assert got == [(1, text), (7, "")]

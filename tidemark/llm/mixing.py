@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.llm.simhash import free_name
 from tidemark.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -202,18 +203,20 @@ def taken(docs: DataFrame, size: Column, source: str = "source", **rates) -> Dat
 
     Only hashes of the rows, sources and sizes are mixed; the rows are then found by two
     64-bit hashes. Equal rows share the copies of all: each is taken the whole part of
-    their mean, and one of them the rest.
+    their mean, and one of them the rest. A null source comes last; a size of 0 or null is never taken;
+    no row gives no row, and columns of any names pass.
     """
-    row = F.struct(*(docs[c] for c in docs.columns))
-    narrow = docs.select(F.xxhash64(row).alias("__one"), F.xxhash64(row, F.lit(1)).alias("__two"), F.col(source).alias("source"), size.alias("size"))
+    one, two, whole, rest, copy = (free_name(docs, n) for n in ("one", "two", "whole", "rest", "copy"))
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    narrow = docs.select(F.xxhash64(row).alias("one"), F.xxhash64(row, F.lit(1)).alias("two"), F.col(source).alias("source"), size.alias("size"))
     mixed = mix(narrow, F.col("size"), "source", **rates)
-    counted = mixed.groupBy("row.__one", "row.__two").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
+    counted = mixed.groupBy("row.one", "row.two").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     each = F.floor(F.col("copies") / F.col("rows"))
-    counted = settle(counted.select("__one", "__two", each.alias("__each"), (F.col("copies") - each * F.col("rows")).alias("__rest")), "copies")
-    found = docs.join(counted, (F.xxhash64(row) == counted["__one"]) & (F.xxhash64(row, F.lit(1)) == counted["__two"]))
+    counted = counted.select(F.col("one").alias(one), F.col("two").alias(two), each.alias(whole), (F.col("copies") - each * F.col("rows")).alias(rest))
+    found = docs.join(settle(counted, "copies"), (F.xxhash64(row) == F.col(one)) & (F.xxhash64(row, F.lit(1)) == F.col(two)))
 
     def times(rows: DataFrame, count: str) -> DataFrame:
-        often = F.explode(F.array_repeat(F.lit(0), F.col(count).cast("int"))).alias("__copy")
-        return rows.where(F.col(count) > 0).select(docs["*"], often).drop("__copy")
+        often = F.explode(F.array_repeat(F.lit(0), F.col(count).cast("int"))).alias(copy)
+        return rows.where(F.col(count) > 0).select(*(f"`{c}`" for c in docs.columns), often).drop(copy)
 
-    return times(found, "__each").union(times(found.where("__rest > 0").dropDuplicates(["__one", "__two"]), "__rest"))
+    return times(found, whole).union(times(found.where(F.col(rest) > 0).dropDuplicates([one, two]), rest))

@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from tidemark.llm.sampling import drawn
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 20_000  # documents, in expectation and at most, on which the scorer is fitted
@@ -224,8 +226,7 @@ def fit(docs: DataFrame, key: str, text: str) -> tuple[Labels, Scorer]:
     counted.sort(key=lambda r: r.votes)
     patterns, counts = np.array([r.votes for r in counted]), np.array([r["count"] for r in counted], float)
     labels = expectation_maximisation(patterns, counts)
-    part = int(min(1.0, 0.95 * SAMPLE / counts.sum()) * 1_000_000)
-    chosen = F.pmod(F.xxhash64(key, text), F.lit(1_000_000)) < part
+    chosen = drawn(0.95 * SAMPLE / counts.sum(), key, text)
 
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo: dict[bytes, int] = {}
@@ -253,8 +254,8 @@ def fit(docs: DataFrame, key: str, text: str) -> tuple[Labels, Scorer]:
     return labels, fit_scorer([dict(zip(r.buckets, r.shares)) for r in rows], good)
 
 
-def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = KEEP) -> DataFrame:
-    """``docs`` with a struct ``VERDICT``: ``score`` of the scorer, ``posterior`` of the label model, ``keep``.
+def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = KEEP, verdict: str = VERDICT) -> DataFrame:
+    """``docs`` with a struct ``verdict``, which must be a free name: ``score`` of the scorer, ``posterior`` of the label model, ``keep``.
 
     A null text counts as empty, which the first voter calls bad. Repeated rows and null keys
     stay; other columns pass unread, whatever their names; no document gives no row.
@@ -270,7 +271,7 @@ def marked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
             scores[i], cast[i] = scorer.score(features(seen, memo)), votes(seen)
         return pd.DataFrame({"score": scores, "posterior": labels.posterior(cast), "keep": scores >= threshold})
 
-    return docs.withColumn(VERDICT, judge(docs[text]))
+    return docs.withColumn(verdict, judge(docs[text]))
 
 
 def judged(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = KEEP) -> DataFrame:

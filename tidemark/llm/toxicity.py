@@ -14,6 +14,7 @@ import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.llm.sampling import drawn
 from tidemark.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -124,8 +125,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str) -> Model:
     marked = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
     marked = marked.groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").alias("toxic"))
     total = marked.count()
-    part = int(min(1.0, 0.95 * SAMPLE / max(1, total)) * 1_000_000)
-    chosen = marked.where(F.pmod(F.xxhash64("label_id"), F.lit(1_000_000)) < part)
+    chosen = marked.where(drawn(0.95 * SAMPLE / max(1, total), "label_id"))
 
     def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -176,8 +176,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str, text: str) -> Model:
     return Model(dict(zip(place, weights.tolist())), thresholds, cut)
 
 
-def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``VERDICT``: ``severity`` (expected grade, 0 to ``GRADES``), ``grade`` (the likeliest), ``toxic`` (0 or 1).
+def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", verdict: str = VERDICT) -> DataFrame:
+    """``docs`` with a struct ``verdict``, which must be a free name: ``severity`` (expected grade, 0 to ``GRADES``), ``grade`` (the likeliest), ``toxic`` (0 or 1).
 
     ``labels`` has ``doc_id`` and ``toxic``; repeats count as toxic if one is. A null text
     counts as empty; repeated rows and null keys stay; other columns pass unread, whatever
@@ -192,7 +192,7 @@ def marked(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str =
         toxic = (above[:, 0] >= model.cut).astype(np.int32)
         return pd.DataFrame({"severity": above.sum(axis=1), "grade": each.argmax(axis=1).astype(np.int32), "toxic": toxic})
 
-    return docs.withColumn(VERDICT, judge(docs[text]))
+    return docs.withColumn(verdict, judge(docs[text]))
 
 
 def judged(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
