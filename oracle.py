@@ -56,6 +56,25 @@ INCREASES = PANEL + """, increases AS (
   FROM panel QUALIFY lead(cum) OVER (PARTITION BY country, province ORDER BY day) IS NOT NULL)"""
 
 
+# Levels of the days with orders only, each carried to every later month-end of its country.
+RAGGED = f"""counts AS (
+  SELECT {PLACE}, CAST(o_orderdate AS DATE) AS day, count(*) AS n
+  FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY ALL),
+sparse AS (
+  SELECT country, province, day, date_trunc('month', day) AS m, sum(n) OVER (PARTITION BY country, province ORDER BY day) AS cum FROM counts),
+spans AS (SELECT country, unnest(generate_series(min(m), max(m), INTERVAL 1 MONTH)) AS m FROM sparse GROUP BY country),
+asof_levels AS (
+  SELECT s.country, s.m, p.province, (
+    SELECT arg_max(cum, day) FROM sparse x WHERE x.country = s.country AND x.province = p.province AND x.m <= s.m) AS cum
+  FROM spans s JOIN (SELECT DISTINCT country, province FROM counts) p ON p.country = s.country),
+r_totals AS (SELECT country, m, CAST(sum(coalesce(cum, 0)) AS BIGINT) AS total FROM asof_levels GROUP BY country, m),
+r_means AS (
+  SELECT t.country, strftime(t.m, '%Y-%m') AS month,
+         CASE WHEN lag(total) OVER w IS NULL THEN CAST(total AS DOUBLE)
+              ELSE CAST(total - lag(total) OVER w AS DOUBLE) / coalesce((SELECT day(max(x.day)) FROM sparse x WHERE x.country = t.country AND x.m = t.m), 1) END AS mean
+  FROM r_totals t WINDOW w AS (PARTITION BY t.country ORDER BY t.m))"""
+
+
 def _slopes(source: str, order: str, value: str, k: int) -> str:
     """Slopes on positions 0..n-1, and the ``k`` steepest."""
     return f"""indexed AS (
@@ -255,7 +274,7 @@ def oracle_sql() -> dict[str, str]:
        CAST(day(day) AS INTEGER) AS bucket_days,
        concat(CAST(month(day) AS VARCHAR), '-', CAST(day(day) AS VARCHAR), '-', CAST(year(day) AS VARCHAR)) AS dashed,
        strftime(day, '%Y-%m-%d') AS day, strftime(day, '%Y-%m') AS month,
-       concat(CAST(month(day) AS VARCHAR), '/', strftime(day, '%y')) AS label FROM days""",
+       concat(CAST(month(day) AS VARCHAR), '/', strftime(day, '%y')) AS label, strftime(day, '%Y-%m-%d') AS long_day FROM days""",
         ),
         "months_present": _with(
             DAYS,
@@ -263,6 +282,7 @@ def oracle_sql() -> dict[str, str]:
 FROM (SELECT DISTINCT date_trunc('month', day) AS m FROM days) ORDER BY month""",
         ),
         "monthly_mean_by_country": _with(BY_COUNTRY, "SELECT country, month, mean FROM c_means"),
+        "monthly_mean_ragged": _with(RAGGED, "SELECT country, month, mean FROM r_means"),
         "monthly_mean_by_place": _with(BY_PLACE, "SELECT country, province, month, mean FROM means"),
         "monthly_increase_by_place": _with(BY_PLACE, "SELECT country, province, month, increase FROM changes"),
         "monthly_level_mean": _with(
@@ -338,6 +358,9 @@ FROM c_means JOIN c_ends USING (country, m)""",
         "continent_label_sql": _with(
             LOCATED + ", " + _labels("located", "c_custkey"), "SELECT c_custkey, continent FROM labelled"
         ),
+        "continent_label_table": _with(
+            LOCATED + ", " + _labels("located", "c_custkey"), "SELECT c_custkey, continent FROM labelled"
+        ),
         "continent_daily_total": _with(CONTINENTS, f"SELECT continent, {day}, inc FROM continent_days"),
         "continent_weekly_stats": _with(
             CONTINENTS,
@@ -381,9 +404,11 @@ FROM clustered GROUP BY rank, country, province, slope""",
             PANEL + ", " + PLACE_LOCATED,
             f"""SELECT coalesce(h.country, v.country) AS country, coalesce(h.province, v.province) AS province,
        h.lat, h.lon, v.cum AS total
-FROM (SELECT * FROM place_located WHERE lat >= 0) h FULL JOIN (SELECT * FROM panel WHERE {last} AND cum % 3 > 0) v
+FROM place_located h FULL JOIN (SELECT * FROM panel WHERE {last}) v
   ON h.country = v.country AND h.province = v.province""",
         ),
+        "outer_join_users": """SELECT coalesce(e.user_id, c.c_custkey) AS party, e.event_id, e.event_type, c.c_mktsegment AS segment
+FROM events e FULL JOIN customer c ON e.user_id = c.c_custkey""",
         "shipment_monthly_mean": _with(SHIPMENTS, "SELECT country, month, mean FROM means"),
         "event_trend_top100": _with(
             _events("event_type, user_id")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from tidemark import workload
 from tidemark.functions import stats
-from tidemark.operators import monthly as buckets, panel as panels
+from tidemark.functions.places import PLACE
+from tidemark.operators import joins, monthly as buckets, panel as panels
 from tidemark.operators.hull import convex_hull
 from tidemark.plans import monthly, trends
 from tidemark.sources import tables
@@ -105,8 +106,12 @@ def test_hulls_of_many_groups_without_nan(spark):
 
 
 def test_unmatched_rows_on_both_sides(spark, root):
-    rows = workload.outer_join_headers(spark, root).collect()
-    assert any(r.lat is None for r in rows) and any(r.total is None for r in rows)
+    places = tables.place_locations(spark, root).where("lat >= 0")
+    last = panels.on_last_day(tables.order_panel(spark, root)).where("cum % 3 > 0")
+    for join in (joins.outer, joins.outer_split):
+        rows = join(places, last, PLACE).collect()
+        assert any(r.lat is None for r in rows) and any(r.cum is None for r in rows)
+    assert any(r.event_id is None for r in workload.outer_join_users(spark, root).collect())
 
 
 def test_day_range_reads_the_raw_column(spark, root):

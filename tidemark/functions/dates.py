@@ -24,9 +24,11 @@ def parse_header(name: str) -> date | None:
     if hit is None:
         return None
     month, day, year = map(int, hit.groups())
-    if year > 99:
-        return date(year, month, day)
-    return date(year + (1900 if year >= FIRST_YEAR_OF_1900S else 2000), month, day)
+    century = 0 if year > 99 else 1900 if year >= FIRST_YEAR_OF_1900S else 2000
+    try:
+        return date(century + year, month, day)
+    except ValueError as wrong:
+        raise ValueError(f"column {name!r} names no day of the calendar") from wrong
 
 
 def header_of(day: date) -> str:
@@ -51,7 +53,7 @@ def header_to_date(header: Column) -> Column:
     """``parse_header`` for values of a column."""
     parts = F.split(header, "/")
     month, day, year = (parts.getItem(i).cast("int") for i in range(3))
-    century = F.when(year >= FIRST_YEAR_OF_1900S, 1900).otherwise(2000)
+    century = F.when(year > 99, 0).when(year >= FIRST_YEAR_OF_1900S, 1900).otherwise(2000)
     return F.make_date(century + year, month, day)
 
 

@@ -35,6 +35,31 @@ def change(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def carried(ends: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Increase since the month-end at which a place was last seen, however long ago; its first level counts whole.
+
+    Summed over places and months these are the totals of all places, each with its last level
+    at or before the month's end.
+    """
+    by_month = Window.partitionBy(*keys).orderBy("month")
+    before = F.coalesce(F.lag("cum").over(by_month), F.lit(0))
+    return ends.withColumn("increase", F.col("cum") - before).drop("cum")
+
+
+def quiet_months(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``changes`` (``month``, ``month_end``, ``increase``) with an increase of 0 in every month between two others, and ``has_before``."""
+    by_month = Window.partitionBy(*keys).orderBy("month")
+    last = F.coalesce(F.add_months(F.lead("month").over(by_month), -1), F.col("month"))
+    months = F.sequence("month", last, F.expr("interval 1 month"))
+    marked = changes.withColumns({"_months": months, "_first": F.lag("month").over(by_month).isNull()})
+    each = marked.select(*keys, "month_end", "increase", "_first", F.posexplode("_months").alias("_nth", "month"))
+    seen = F.col("_nth") == 0
+    return each.select(
+        *keys, "month", F.when(seen, F.col("month_end")).otherwise(F.last_day("month")).alias("month_end"),
+        F.when(seen, F.col("increase")).otherwise(F.lit(0)).alias("increase"), (~(seen & F.col("_first"))).alias("has_before"),
+    )
+
+
 def daily_mean(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Monthly increase per day up to the month-end; the first month stays undivided."""
     per_day = F.col("increase").cast("double") / F.dayofmonth("month_end")

@@ -26,12 +26,13 @@ def mean_by_country(panel: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Mean daily increase of every month per country.
 
     Places are cut to their month-ends first, so the sum over places moves one
-    row per place and month. A place that was last seen earlier in a month than
-    others of its country keeps its level up to their month-end.
+    row per place and month. A place keeps its last level until it is seen again: a month
+    that it skips, or all after its last, add nothing. A month that every place of a
+    country skips has a mean of 0.
     """
-    ends = monthly.month_ends(panel, keys)
-    totals = ends.groupBy("country", "month").agg(F.max("month_end").alias("month_end"), F.sum("cum").alias("cum"))
-    return monthly.daily_mean(monthly.change(totals, ["country"]), ["country"])
+    moved = monthly.carried(monthly.month_ends(panel, keys), keys)
+    totals = moved.groupBy("country", "month").agg(F.max("month_end").alias("month_end"), F.sum("increase").alias("increase"))
+    return monthly.daily_mean(monthly.quiet_months(totals, ["country"]), ["country"])
 
 
 def mean_by_country_wide(data: DataFrame) -> DataFrame:

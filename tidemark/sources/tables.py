@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tidemark.functions.places import PLACE
 from tidemark.operators.panel import cumulative
 
+DOMINANT = 1_000_000  # rows of a key from which a join deals it to several tasks
 MAIN_SEGMENT = "HOUSEHOLD"  # rows of this segment stand for the country itself
 
 
@@ -19,7 +20,7 @@ SCHEMAS = {
     "nation": "n_nationkey INT, n_name STRING",
     "supplier": "s_suppkey BIGINT, s_nationkey INT",
     "lineitem": "l_suppkey BIGINT, l_shipdate TIMESTAMP_NTZ",
-    "events": "ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING",
 }
 
 
@@ -74,6 +75,12 @@ def order_panel(spark: SparkSession, root: str) -> DataFrame:
     return _panel(order_counts(spark, root), PLACE, order_range(spark, root))
 
 
+def sparse_panel(spark: SparkSession, root: str) -> DataFrame:
+    """Cumulative orders per place on the days that have orders only: places skip days and months."""
+    by_day = Window.partitionBy(*PLACE).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)
+    return order_counts(spark, root).select(*PLACE, "date", F.sum("n").over(by_day).alias("cum"))
+
+
 def shipment_panel(spark: SparkSession, root: str) -> DataFrame:
     """Cumulative shipments per country of the supplier on every day of the shipping range."""
     items = table(spark, root, "lineitem")

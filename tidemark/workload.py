@@ -10,10 +10,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions import dates
-from tidemark.functions.places import COUNTRY, LAT, LON, LONG_NAMES, PLACE, PROVINCE, relabel
-from tidemark.functions.regions import continent
+from tidemark.functions.places import COUNTRY, LAT, LON, LONG_NAMES, PLACE, PROVINCE, is_unlocated, relabel
+from tidemark.functions.regions import ELSEWHERE, UNLOCATED, continent, rings
 from tidemark.functions.sql import CONTINENT_FUNCTION, register_continent
-from tidemark.operators import joins, monthly as buckets, panel as panels, reshape, wide
+from tidemark.operators import joins, monthly as buckets, panel as panels, polygons, reshape, wide
 from tidemark.operators.ranking import top
 from tidemark.operators.scaling import min_max
 from tidemark.operators.weekly import weekly_stats
@@ -75,6 +75,7 @@ def header_names(spark: SparkSession, root: str) -> DataFrame:
         dates.iso_day(F.col("parsed")).alias("day"),
         dates.year_month(F.col("parsed")).alias("month"),
         dates.month_label(F.col("parsed")).alias("label"),
+        dates.iso_day(dates.header_to_date(F.date_format("date", "M/d/yyyy"))).alias("long_day"),
     )
 
 
@@ -91,6 +92,12 @@ def monthly_mean_by_country(spark: SparkSession, root: str) -> DataFrame:
     return means.select("country", _month(), "mean")
 
 
+def monthly_mean_ragged(spark: SparkSession, root: str) -> DataFrame:
+    """Means per country of a panel whose places skip days and months."""
+    means = monthly.mean_by_country(tables.sparse_panel(spark, root), PLACE)
+    return means.select("country", _month(), "mean")
+
+
 def monthly_mean_by_place(spark: SparkSession, root: str) -> DataFrame:
     return monthly.mean(tables.order_panel(spark, root), PLACE).select(*_place(), _month(), "mean")
 
@@ -235,6 +242,23 @@ def continent_label_sql(spark: SparkSession, root: str) -> DataFrame:
     return spark.sql(text, located=tables.customer_locations(spark, root))
 
 
+def outlines(spark: SparkSession, corrected: bool = False) -> DataFrame:
+    """The outlines as a table of vertices, labels in order of priority."""
+    found = rings(corrected)
+    rank = {name: i for i, name in enumerate(dict.fromkeys(name for name, _ in found))}
+    rows = [(n, name, rank[name], i, float(a), float(b)) for n, (name, ring) in enumerate(found) for i, (a, b) in enumerate(ring)]
+    return spark.createDataFrame(rows, "ring long, label string, priority int, seq int, lat double, lon double")
+
+
+def continent_label_table(spark: SparkSession, root: str) -> DataFrame:
+    """The label by a join with the outlines as rows."""
+    located = tables.customer_locations(spark, root)
+    apart = is_unlocated(F.col("lat"), F.col("lon"))
+    found = polygons.label(located.where(~apart), outlines(spark), "c_custkey")
+    named = found.select("c_custkey", F.coalesce("label", F.lit(ELSEWHERE)).alias("continent"))
+    return named.union(located.where(apart).select("c_custkey", F.lit(UNLOCATED)))
+
+
 def _continent_daily(spark: SparkSession, root: str) -> DataFrame:
     return trends.continent_daily(tables.order_panel(spark, root), tables.place_locations(spark, root), PLACE)
 
@@ -340,18 +364,24 @@ def event_weekly_stats(spark: SparkSession, root: str) -> DataFrame:
 
 def outer_join_headers(spark: SparkSession, root: str) -> DataFrame:
     last = panels.on_last_day(tables.order_panel(spark, root), tables.last_order_day(spark, root))
-    # places of the south have no header here, and small totals no row, so that either side has unmatched rows
-    totals = last.select(*PLACE, F.col("cum").alias("total")).where("total % 3 > 0")
-    joined = joins.outer(tables.place_locations(spark, root).where("lat >= 0"), totals, PLACE)
+    joined = joins.outer(tables.place_locations(spark, root), last.select(*PLACE, F.col("cum").alias("total")), PLACE)
     return joined.select(*_place(), "lat", "lon", "total")
 
 
+def outer_join_users(spark: SparkSession, root: str) -> DataFrame:
+    """Every event with the segment of its user, and every customer without events."""
+    events = tables.table(spark, root, "events").select(F.col("user_id").alias("party"), "event_id", "event_type")
+    customers = tables.table(spark, root, "customer").select(F.col("c_custkey").alias("party"), F.col("c_mktsegment").alias("segment"))
+    return joins.outer_split(events, customers, ["party"], most=tables.DOMINANT).select("party", "event_id", "event_type", "segment")
+
+
 QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     panel_cumulative,
     calendar_days,
     header_names,
     months_present,
     monthly_mean_by_country,
+    monthly_mean_ragged,
     monthly_mean_by_place,
     monthly_increase_by_place,
     monthly_level_mean,
@@ -372,6 +402,7 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     continent_label,
     continent_label_corrected,
     continent_label_sql,
+    continent_label_table,
     continent_daily_total,
     continent_weekly_stats,
     continent_weekly_min_size,
@@ -386,6 +417,7 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     cluster_hull,
     cluster_hull_by_month,
     outer_join_headers,
+    outer_join_users,
     shipment_monthly_mean,
     event_trend_top100,
     event_weekly_stats,
