@@ -323,6 +323,16 @@ FROM report JOIN c_means USING (country) GROUP BY label""",
         "total_by_country": _with(
             PANEL + ", " + COUNTRY, f"SELECT country, cum AS total FROM country_panel WHERE {last}"
         ),
+        "written_totals": _with(
+            PANEL + ", " + COUNTRY, f"SELECT country, cum AS total FROM country_panel WHERE {last}"
+        ),
+        "snapshot_panel": _with(
+            PANEL + """, cut AS (
+  SELECT start_day, CAST(date_diff('day', start_day, end_day) AS DOUBLE) / 3 AS third FROM bounds)""",
+            f"""SELECT country, province, {day}, CAST(cum + CASE
+       WHEN date_diff('day', start_day, day) >= floor(1.5 * third) THEN 0
+       WHEN date_diff('day', start_day, day) >= floor(third / 2) THEN 1 ELSE 2 END AS BIGINT) AS cum FROM panel CROSS JOIN cut""",
+        ),
         "total_by_province": _with(
             PANEL, f"SELECT province, {day}, CAST(sum(cum) AS BIGINT) AS total FROM panel GROUP BY province, panel.day"
         ),
@@ -430,6 +440,15 @@ slopes AS (
        max(inc) AS max, min(inc) AS min
 FROM (SELECT event_type, inc,
              CAST(date_diff('day', (SELECT min(day) FROM days), day) // 7 + 1 AS INTEGER) AS week FROM increases)
+GROUP BY event_type, week""",
+        ),
+        "event_weekly_stream": _with(
+            _events("event_type"),
+            """SELECT event_type, week, CAST(sum(inc) AS DOUBLE) / count(*) AS mean,
+       sqrt(CAST(count(*) * sum(inc * inc) - sum(inc) * sum(inc) AS DOUBLE)) / count(*) AS std,
+       max(inc) AS max, min(inc) AS min
+FROM (SELECT event_type, inc,
+             CAST(date_diff('day', (SELECT min(day) FROM days), day) // 7 + 1 AS INTEGER) AS week FROM increases)
 GROUP BY event_type, week""",
         ),
     }

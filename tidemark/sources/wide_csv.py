@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.dates import parse_header
-from tidemark.functions.places import LAT, LON
-from tidemark.operators.wide import drop_matching
+from tidemark.functions.places import LAT, LON, LONG_NAMES, PLACE
+from tidemark.operators.reshape import days_to_long
+from tidemark.operators.wide import drop_matching, split_columns
 
 # Fixed value: names that a saved row index gets when it is read back.
 INDEX_COLUMNS = r"Unnamed|_c\d+$"
@@ -32,9 +36,38 @@ def read_wide(spark: SparkSession, path: str) -> DataFrame:
     return data.to(T.StructType([T.StructField(n, T.LongType() if parse_header(n) else _type(n)) for n in data.columns]))
 
 
+def read_snapshots(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """One long panel (``province``, ``country``, ``date``, ``cum``) of several snapshots, oldest first.
+
+    Each file has its own day columns. A place and day has the level of the latest snapshot
+    that holds it: a day that a later header lacks stays, an empty cell replaces nothing.
+    """
+    if not paths:
+        raise ValueError("a panel needs at least one snapshot")
+    parts = []
+    for number, path in enumerate(paths):
+        data = read_wide(spark, path)
+        headers, _ = split_columns(data)
+        long = days_to_long(data, headers).withColumnsRenamed(LONG_NAMES)
+        parts.append(long.select(*PLACE, "date", "cum", F.lit(number).alias("snapshot")).where("cum IS NOT NULL"))
+    rows = reduce(DataFrame.unionByName, parts)
+    return rows.groupBy(*PLACE, "date").agg(F.max_by("cum", "snapshot").alias("cum"))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write a result with its header, one file per partition."""
-    df.write.option("header", True).csv(path)
+    """Write a result with its header, one file per partition, in place of what an earlier run left there.
+
+    Spark marks the folder with a ``_SUCCESS`` file once all parts are there.
+    """
+    df.write.mode("overwrite").option("header", True).csv(path)
+
+
+def read_report(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A result that ``write_csv`` wrote to its end; one that a run left half written is an error."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark):
+        raise ValueError(f"{path} has not been written to its end")
+    return spark.read.schema(schema).option("header", True).csv(path)
 
 
 def preview(df: DataFrame, rows: int = 5) -> DataFrame:

@@ -18,8 +18,9 @@ from tidemark.operators.ranking import top
 from tidemark.operators.scaling import min_max
 from tidemark.operators.weekly import weekly_stats
 from tidemark.plans import clusters, monthly, trends
-from tidemark.session import new_folder
+from tidemark.session import new_folder, settle
 from tidemark.sources import tables, wide_csv
+from tidemark.streaming import weekly as arriving
 
 RENAMES = {"NATION_7": "NATION_8"}  # a label folded into another one
 KEPT = ("NATION_3", "NATION_11", "NATION_19", "NATION_99")  # a list as a caller gives it
@@ -214,6 +215,31 @@ def wide_csv_monthly_mean(spark: SparkSession, root: str) -> DataFrame:
     return long.select(wide.col(COUNTRY).alias("country"), "bucket", "mean")
 
 
+def snapshot_panel(spark: SparkSession, root: str) -> DataFrame:
+    """Three snapshots of the panel, with other first and last days and other levels where they overlap, read as one."""
+    start, end = _range(spark, root)
+    third = (end - start) / 3
+    cuts = [(start, start + third), (start + third / 2, start + 2 * third), (start + 1.5 * third, end)]
+    panel = settle(tables.order_panel(spark, root), "panel")
+    paths = []
+    for number, (first, last) in enumerate(cuts):
+        level = F.col("cum") + (len(cuts) - 1 - number)  # later corrected
+        part = panel.where(F.col("date").between(first, last)).withColumn("cum", level)
+        both = joins.inner(tables.place_locations(spark, root), reshape.day_series(part, PLACE, first, last), PLACE)
+        named = both.withColumnsRenamed({name: header for header, name in LONG_NAMES.items()})
+        paths.append(new_folder(spark, "snapshot"))
+        wide_csv.write_csv(reshape.days_to_wide(named, first, last), paths[-1])
+    return wide_csv.read_snapshots(spark, paths).select(*_place(), _day(), "cum")
+
+
+def written_totals(spark: SparkSession, root: str) -> DataFrame:
+    """Totals per country written as a report twice, the second in place of the first, and read back."""
+    path = new_folder(spark, "totals")
+    for totals in (total_by_country(spark, root).limit(1), total_by_country(spark, root)):
+        wide_csv.write_csv(totals, path)
+    return wide_csv.read_report(spark, path, "country string, total long")
+
+
 # --- trends and continents
 
 
@@ -359,6 +385,14 @@ def event_weekly_stats(spark: SparkSession, root: str) -> DataFrame:
     return weekly_stats(panels.increase(tables.event_panel(spark, root, ["event_type"]), ["event_type"]), "event_type")
 
 
+def event_weekly_stream(spark: SparkSession, root: str) -> DataFrame:
+    """The weeks of events that arrive as files; the stored table is replayed in any order, so no row is late."""
+    folder = new_folder(spark, "events")
+    events = arriving.arriving(spark, f"{root}/events.parquet", tables.SCHEMAS["events"])
+    arriving.follow(arriving.daily_counts(events, "event_type", "ts", "36500 days"), folder).awaitTermination()
+    return arriving.weekly(arriving.counted(spark, folder, "event_type"), "event_type")
+
+
 # --- joins
 
 
@@ -397,6 +431,8 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     wide_level_mean,
     wide_slopes,
     wide_csv_monthly_mean,
+    snapshot_panel,
+    written_totals,
     daily_increase,
     trend_slope_top100,
     continent_label,
@@ -421,4 +457,5 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     shipment_monthly_mean,
     event_trend_top100,
     event_weekly_stats,
+    event_weekly_stream,
 )
