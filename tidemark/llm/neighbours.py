@@ -10,6 +10,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import vectors
+from tidemark.llm.vectors import answers, best, id_lists, matrix
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -83,15 +84,15 @@ class Forest:
 def nearest(rows: pa.Table, asked: pa.Table, count: int, wanted: int) -> pa.Table:
     """The ``count`` nearest of a shard to each query of a block."""
     if not len(rows) or not len(asked):
-        return vectors.answers([], pa.float64())
-    base, queries = (unit(vectors.matrix(t, "vector", np.float64)) for t in (rows, asked))
-    ids = vectors.id_lists(rows)
+        return answers([], pa.float64())
+    base, queries = (unit(matrix(t, "vector", np.float64)) for t in (rows, asked))
+    ids = id_lists(rows)
     met = Forest(base).candidates(strings(queries), wanted)
     out = []
     for name, query, near in zip(asked.column("query").to_pylist(), queries, met):
         scores = (base[near] * query).sum(axis=1)
-        out.append((name, *vectors.best(scores, near, ids, count)))
-    return vectors.answers(out, pa.float64())
+        out.append((name, *best(scores, near, ids, count)))
+    return answers(out, pa.float64())
 
 
 def neighbours(

@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm import vectors
+from tidemark.llm.vectors import answers, best, id_lists, matrix
 from tidemark.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,7 +75,7 @@ def search(tree: Tree, query: np.ndarray, bounds: np.ndarray, ids: tuple, count:
             rows, own = rows[own >= floor], own[own >= floor]
         if not len(rows):
             continue
-        more, better = vectors.best(own, rows, (ids[0], starts), count)
+        more, better = best(own, rows, (ids[0], starts), count)
         names, scores = np.concatenate([names, more]), np.concatenate([scores, better])
         order = np.lexsort((names, -scores))[:count]
         names, scores = names[order], scores[order]
@@ -86,19 +87,19 @@ def search(tree: Tree, query: np.ndarray, bounds: np.ndarray, ids: tuple, count:
 def shard_top(rows: pa.Table, asked: pa.Table, count: int) -> pa.Table:
     """The ``count`` best of a shard for each query of a block, no worse than the query's ``floor``."""
     if not len(rows) or not len(asked):
-        return vectors.answers([], pa.int64())
-    base, queries = (vectors.matrix(t, "vector", np.int64) for t in (rows, asked))
+        return answers([], pa.int64())
+    base, queries = (matrix(t, "vector", np.int64) for t in (rows, asked))
     largest = [float(np.abs(x.astype(float)).max()) for x in (base, queries)]
     kind = np.float64 if largest[0] * largest[1] * base.shape[1] < EXACT else object
     tree, queries = Tree(base.astype(kind)), queries.astype(kind)
     bounds = tree.bounds(queries)
-    ids = vectors.id_lists(rows)
+    ids = id_lists(rows)
     out = []
     for i, (name, floor) in enumerate(zip(asked.column("query").to_pylist(), asked.column("floor").to_pylist())):
         names, scores = search(tree, queries[i], bounds[i], ids, count, floor)
         whole = [max(-LONG - 1, min(LONG, int(x))) for x in scores]
         out.append((name, names, np.array(whole, np.int64)))
-    return vectors.answers(out, pa.int64())
+    return answers(out, pa.int64())
 
 
 def top_k(table: DataFrame, query, key: str = "vec_id", vector: str = "embedding", scale: int = 256, k: int = 5) -> DataFrame:
