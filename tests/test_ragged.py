@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 
 from tidemark.functions.dates import header_to_date, parse_header
-from tidemark.operators import joins
+from tidemark.operators import joins, reshape
 from tidemark.plans import monthly
 from pyspark.sql import functions as F
 
@@ -94,3 +94,9 @@ def test_years_of_two_and_four_digits(spark):
     assert {r.h: r.day for r in parsed} == {n: parse_header(n) for n in names}
     with pytest.raises(ValueError, match="2/30/20"):
         parse_header("2/30/20")
+
+
+def test_too_many_labels_for_columns(spark):
+    assert reshape.labels_of(spark.range(5).select((F.col("id") % 3).alias("x")), F.col("x")) == [0, 1, 2]
+    with pytest.raises(ValueError, match="more than 10 values"):
+        reshape.labels_of(spark.range(11), F.col("id"), most=10)

@@ -5,11 +5,21 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.dates import days_between, header_of, parse_header
 from tidemark.operators.wide import project, quoted
 
+MOST_COLUMNS = 10_000  # a wider table is slow to plan, whatever its rows
+
+
+def labels_of(rows: DataFrame, label: Column, most: int = MOST_COLUMNS) -> list:
+    """The distinct values of ``label``, in order, that are to become columns; more than ``most`` are an error."""
+    found = rows.select(label.alias("label")).distinct().orderBy("label").limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} values cannot become columns: keep a row for each")
+    return [r[0] for r in found]
+
 
 def to_wide(long: DataFrame, keys: Sequence[str], on: str, labels: Sequence[object], value: str) -> DataFrame:
     """One row per key and one column per label.

@@ -45,7 +45,7 @@ def write_all(spark: SparkSession, path: str, out: str) -> None:
     months = [label_of(parse_header(d)) for d in wide.month_ends(days)]
     table = settle(monthly_table(data), "monthly")
     write_csv(table, f"{out}/monthly_mean")
-    countries = [r[0] for r in table.select(wide.col(COUNTRY)).orderBy(wide.col(COUNTRY)).collect()]  # they become columns
+    countries = reshape.labels_of(table, wide.col(COUNTRY))
     by_month = reshape.to_long(table, [COUNTRY], "month", "mean").select(wide.col(COUNTRY).alias("country"), "month", "mean")
     write_csv(reshape.to_wide(by_month, ["month"], "country", countries, "mean"), f"{out}/monthly_mean_transposed")
     totals = panels.sum_by(panels.on_last_day(panel, last), ["country"])

@@ -120,8 +120,7 @@ def monthly_mean_wide(spark: SparkSession, root: str) -> DataFrame:
 
 def monthly_mean_transposed(spark: SparkSession, root: str) -> DataFrame:
     """Months as rows and countries as columns; the names, which become columns, come from the nation table."""
-    names = tables.table(spark, root, "nation").select("n_name").distinct().orderBy("n_name")
-    countries = [row[0] for row in names.collect()]
+    countries = reshape.labels_of(tables.table(spark, root, "nation"), F.col("n_name"))
     means = monthly.mean_by_country(tables.order_panel(spark, root), PLACE)
     labelled = means.select(dates.month_label(F.col("month")).alias("label"), "country", "mean")
     return reshape.to_wide(labelled, ["label"], "country", countries, "mean")
