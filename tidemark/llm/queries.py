@@ -47,7 +47,7 @@ def op6_mixing(spark: SparkSession, root: str) -> DataFrame:
     """Words that the mix takes of every document."""
     sized = read(spark, root, "documents").select("doc_id", "source", mixing.words("text").alias("size"))
     return mixing.mix(sized, F.col("size")).select(
-        "row.doc_id", "source", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken")
+        "row.doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source"
     )
 
 
