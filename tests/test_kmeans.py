@@ -114,3 +114,42 @@ def test_centroids_that_have_been_there_are_done(spark):
 def test_ties_go_to_the_first_centroid(spark):
     df = spark.createDataFrame([(0.5, [1.0, 0.0]), (0.5, [0.0, 1.0])], "y double, c array<double>")
     assert [r[0] for r in df.select(kmeans.nearest("y", "c")).collect()] == [1.0, 0.0]
+
+
+def by_updates(points, ranks):
+    """Centroids by plain rounds over all points."""
+    state = kmeans.start(points, "g", ranks)
+    while not state.where("NOT done").isEmpty():
+        state = kmeans.settle(kmeans.update(points, state, "g", len(ranks)), "plain")
+    return sorted((r.g, r.centroids, r.mean, r.seen) for r in state.collect())
+
+
+@pytest.mark.parametrize("block, rounds", [(1, 1_000), (7, 3), (64, 1_000), (4_096, 2)])
+def test_blocks_do_not_matter(spark, monkeypatch, block, rounds):
+    """Blocks of sorted values, however long, give every round of the plain aggregate, hashes of the way included."""
+    rng = random.Random(block)
+    groups = {g: [rng.choice([rng.random() ** 3, rng.randint(0, 9) / 9]) for _ in range(150)] for g in range(3)}
+    points = kmeans.settle(points_of(spark, groups), "points")
+    ranks = kmeans.start_ranks(150)
+    monkeypatch.setattr(kmeans, "BLOCK", block)
+    fitted = kmeans.fit(points, "g", ranks, rounds)
+    assert sorted((r.g, r.centroids, r.mean, r.seen) for r in fitted.collect()) == by_updates(points, ranks)
+
+
+def test_close_centroids_take_their_round_over_all_points(spark, monkeypatch):
+    """Starting centroids one step of the grid apart, the later one first; ties by rounding stay what they were."""
+    values = [0.0, 0.5 + 1e-12, 0.5, 1.0, *(i / 97 for i in range(97))]
+    points = kmeans.settle(points_of(spark, {0: values}), "points")
+    monkeypatch.setattr(kmeans, "BLOCK", 8)
+    fitted = kmeans.fit(points, "g", (1, 2, 3, 0))
+    assert sorted((r.g, r.centroids, r.mean, r.seen) for r in fitted.collect()) == by_updates(points, (1, 2, 3, 0))
+
+
+def test_a_task_sees_totals_and_few_values(spark):
+    """20,000 values of one group reach the rounds as totals and the blocks between clusters."""
+    df = spark.range(20_000).selectExpr("0 AS g", "CAST(id AS INT) AS rank", "CAST(id * id AS DOUBLE) AS v")
+    points = kmeans.settle(kmeans.grid_points(df, "g", "v"), "points")
+    values, totals = kmeans.stretches(points, "g")
+    assert values.count() == 20_000 and 5 <= totals.count() <= 20
+    assert values.agg(kmeans.F.sum("n"), kmeans.F.sum("low")).first() == totals.agg(kmeans.F.sum("n"), kmeans.F.sum("low")).first()
+    assert values.groupBy("g", "block").count().agg(kmeans.F.max("count")).first()[0] <= kmeans.BLOCK

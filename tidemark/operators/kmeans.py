@@ -7,11 +7,13 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators import kmeans_rounds
 from tidemark.operators.scaling import min_max
-from tidemark.session import settle
+from tidemark.session import discard, settle
 
 SEED = 42
 CLUSTERS = 4
+BLOCK = 4_096  # distinct values of a block of the sorted order, at most
 STEPS = 10**12  # points lie on a grid of 1/STEPS, so that sums of points are exact
 
 
@@ -79,20 +81,71 @@ def update(points: DataFrame, state: DataFrame, group: str, k: int) -> DataFrame
     )
 
 
-def fit(points: DataFrame, group: str, ranks: Sequence[int], rounds_per_write: int = 4) -> DataFrame:
+def stretches(points: DataFrame, group: str) -> tuple[DataFrame, DataFrame]:
+    """Distinct values of every group in blocks of the sorted order, and the totals of the blocks.
+
+    ``values`` has ``first`` = ``last`` = the steps of one value, ``n`` points, and the sum of their steps in a ``high``
+    and a ``low`` part; ``totals`` has the same of each block. No task sees a whole group. Points without a value are left out.
+    """
+    half = 1 << kmeans_rounds.LOW_BITS
+    counted = points.where(F.col("steps").isNotNull()).groupBy(group, "steps").agg(F.count("*").alias("n"))
+    placed = counted.orderBy(group, "steps").select(
+        group,
+        F.expr(f"monotonically_increasing_id() div {BLOCK}").alias("block"),
+        F.col("steps").alias("first"),
+        F.col("steps").alias("last"),
+        "n",
+        F.expr(f"steps div {half} * n").alias("high"),
+        F.expr(f"steps % {half} * n").alias("low"),
+    )
+    values = settle(placed, "values")
+    sums = [F.sum(c).alias(c) for c in ("n", "high", "low")]
+    totals = values.groupBy(group, "block").agg(F.min("first").alias("first"), F.max("last").alias("last"), *sums)
+    return values, settle(totals, "totals")
+
+
+def step(values: DataFrame, totals: DataFrame, state: DataFrame, group: str, rounds: int) -> DataFrame:
+    """As many rounds for each group as end within the blocks that part its clusters now, at least one.
+
+    A task holds the totals of a group and the single values of those few blocks, never its points.
+    """
+    steps = STEPS
+    held = totals.join(state.where(~F.col("done")).select(group, "centroids"), group)
+    ends = [nearest(f"({end} / {float(STEPS)}D)", "centroids") for end in ("first", "last")]
+    held = held.withColumn("whole", ends[0] == ends[1])
+    cut = held.where(~F.col("whole")).select(group, "block")
+    parts = held.where("whole").select(*values.columns).unionByName(values.join(cut, [group, "block"]))
+    return (
+        parts.groupBy(group).cogroup(state.groupBy(group))
+        .applyInArrow(lambda a, b: kmeans_rounds.advance(a, b, rounds, steps), state.schema)
+    )
+
+
+def fit(points: DataFrame, group: str, ranks: Sequence[int], rounds_per_write: int = 1_000) -> DataFrame:
     """Final centroids of every group (``centroids``, one row per group), whatever its length.
 
-    The state, k numbers per group and a hash per round, is written to the shared
-    folder after every few rounds: the plan stays short and a lost executor costs no
-    more than those rounds. Spark knows the size of what is written and decides
-    itself whether to broadcast it. ``points`` should be a written table, as it is read
-    once a round.
+    Clusters are stretches of the sorted values, so a round only asks which blocks of values lie between two
+    clusters: all other blocks count by their totals. Rounds go on in one task per group until a cluster ends in a
+    block that is not open there, or for ``rounds_per_write``; then the state, k numbers per group and a hash
+    per round, is written to the shared folder. Groups with centroids so close that rounding may decide
+    between them take that round over all points. ``points`` should be a written table.
     """
+    values, totals = stretches(points, group)
     state = settle(start(points, group, ranks), "kmeans")
-    while not state.where(~F.col("done")).isEmpty():
-        for _ in range(rounds_per_write):
-            state = update(points, state, group, len(ranks))
-        state = settle(state, "kmeans")
+    gap = "array_sort(centroids)"
+    gaps = F.expr(f"zip_with(slice({gap}, 2, {len(ranks) - 1}), slice({gap}, 1, {len(ranks) - 1}), (b, a) -> b - a)")
+    close = F.exists(gaps, lambda x: (x > 0) & (x < kmeans_rounds.CLOSE)) & ~F.col("done")
+    while True:
+        left = state.agg(F.count_if(~F.col("done")), F.count_if(close)).first()
+        if not left[0]:
+            break
+        after = step(values, totals, state.where(~close), group, rounds_per_write)
+        if left[1]:
+            after = after.unionByName(update(points, state.where(close), group, len(ranks)))
+        before, state = state, settle(after, "kmeans")
+        discard(before)
+    for table in (values, totals):
+        discard(table)
     return state
 
 
