@@ -29,6 +29,16 @@ def found(df):
     return out
 
 
+def by_row(rows, score, every, k=5):
+    """Answers of every query row against all rows but itself, as sorted tuples; a null id comes last in ties."""
+    out = []
+    for i, (q, v) in enumerate(rows):
+        if q is not None and q % every == 0:
+            best = sorted((-score(v, w), c is None, c or 0) for j, (c, w) in enumerate(rows) if j != i)[:k]
+            out += [(q, r, None if none else c, -s) for r, (s, none, c) in enumerate(best, 1)]
+    return sorted(out, key=repr)
+
+
 def table(spark, rows):
     return spark.createDataFrame([(i, v, "x", 1, 0.5, None) for i, v in rows], SIDE)
 
@@ -50,9 +60,31 @@ def some(seed=1, n=400, d=6):
 def test_exact(spark, small):
     rows = some()
     bad = [(1_000, None), (1_050, [1.0, None] + [0.0] * 4), (1_100, [float("nan")] * 6), (1_150, [float("inf")] + [0.0] * 5), (None, rows[3][1]), (1_200, [])]
-    got = found(top_k.top_k(table(spark, rows + bad + rows[:60]), lambda key: key % 50 == 0))
+    got = found(top_k.top_k(table(spark, rows + bad[:4] + bad[5:]), lambda key: key % 50 == 0))
     whole = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
     assert got == brute(whole, lambda a, b: sum(x * y for x, y in zip(a, b)), 50)
+    # repeated rows and ids and null ids are rows like any other
+    more = rows + rows[:60] + [(i, rows[i + 7][1]) for i in range(48, 53)] + [(None, rows[3][1]), (None, rows[0][1])]
+    got = top_k.top_k(table(spark, more + bad[:4]), lambda key: key % 50 == 0).collect()
+    whole = [(i, [int(np.floor(256 * x)) for x in v]) for i, v in more]
+    assert sorted(map(tuple, got), key=repr) == by_row(whole, lambda a, b: sum(x * y for x, y in zip(a, b)), 50)
+
+
+def test_every_row_counts(spark, tmp_path):
+    """Ids 0, 1, 1, 2, null: both rows of 1 and the row without an id are found, by both searches and the twin."""
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.1]), (1, [-1.0, 0.0]), (2, [0.0, 1.0]), (None, [1.0, 0.0]), (50, [1.0, 0.0]), (50, [1.0, 0.0])]
+    for search, score in ((top_k.top_k, lambda a, b: int(sum(np.floor(256 * np.float32(a)) * np.floor(256 * np.float32(b))))), (neighbours.neighbours, None)):
+        got = sorted(map(tuple, search(table(spark, rows), lambda key: key % 50 == 0).collect()), key=repr)
+        if score:
+            assert got == by_row(rows, score, 50)
+            table(spark, rows).select("vec_id", "embedding").write.parquet(f"{tmp_path}/e")
+            con = duckdb.connect()
+            con.execute(f"create view embeddings as from '{tmp_path}/e/*.parquet'")
+            assert got == sorted(con.execute(queries.OP10_SQL).fetchall(), key=repr)
+        else:
+            want = by_row([(i, np.float32(v).tolist()) for i, v in rows], cosine, 50)
+            assert [r[:3] for r in got] == [r[:3] for r in want]
+            assert np.allclose([r[3] for r in got], [r[3] for r in want], rtol=0, atol=1e-12)
 
 
 def test_exact_beyond_doubles(spark, small):
@@ -75,7 +107,7 @@ def test_cosine(spark, small):
 def test_few_and_none(spark):
     three = [(0, [1.0, 2.0]), (1, [1.0, 1.0]), (2, [0.0, 0.0]), (1, [0.5, 9.0])]
     assert found(neighbours.neighbours(table(spark, three), lambda key: key % 50 == 0)).keys() == {0}
-    assert [c for c, _ in found(top_k.top_k(table(spark, three), lambda key: key % 50 == 0))[0]] == [1, 2]
+    assert [c for c, _ in found(top_k.top_k(table(spark, three), lambda key: key % 50 == 0))[0]] == [1, 1, 2]
     for search in (neighbours.neighbours, top_k.top_k):
         assert search(table(spark, []), lambda key: key % 50 == 0).collect() == []
         assert search(table(spark, [(1, [1.0])]), lambda key: key % 50 == 0).collect() == []

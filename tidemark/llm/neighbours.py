@@ -103,13 +103,14 @@ def neighbours(
     ``query`` is a condition on ``key``. Every vector is indexed: distinct ones are
     dealt by hash into shards, and each shard meets the distinct queries in blocks.
     Scores are in double precision on the vectors themselves. Null, empty and zero
-    vectors, those with a null or non-finite component, and rows without a key take no
-    part; a key counts once, with the least of its vectors, and is never its own
-    neighbour. Fewer than ``k`` others: all of them.
+    vectors and those with a null or non-finite component take no part. Every other row
+    counts, be its key repeated or null, and only the query's own row is never its
+    neighbour; each row of a repeated query key has its own answer. Ties go to the
+    smaller key, null keys last. Fewer than ``k`` others: all of them.
     Vectors of different lengths are an error. No query: no row.
     """
-    rows = vectors.keyed(table, key, vector, F.exists("vector", lambda x: x != 0))
-    asked = rows.where(query(F.col("id")))
+    rows = vectors.numbered(table, key, vector, F.exists("vector", lambda x: x != 0))
+    asked = rows.where(query(F.col("name")))
     base, blocks = vectors.distinct_vectors(rows, k), vectors.distinct_queries(asked)
     shards, parts = base.select("shards").first(), blocks.select("blocks").first()
     if shards is None or parts is None:
@@ -121,4 +122,4 @@ def neighbours(
         .cogroup(right.select("query", "vector", "shard", "block").groupBy("shard", "block"))
         .applyInArrow(lambda a, b: nearest(a, b, k + 1, wanted), "query long, id long, score double")
     )
-    return vectors.ranked(found, asked, k)
+    return vectors.ranked(found, asked, rows, k)

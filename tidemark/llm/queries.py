@@ -132,16 +132,17 @@ from ruled
 """.replace("@words", "|".join(url_filter.WORDS))
 
 OP10_SQL = """
-with whole as (
-    select vec_id, [floor(256 * x::double) for x in embedding] as e
-    from embeddings
-    where vec_id is not null and len(embedding) > 0
-      and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+with numbered as (
+    select row_number() over () as nr, vec_id, embedding from embeddings
+), whole as (
+    select nr, vec_id, [floor(256 * x::double) for x in embedding] as e
+    from numbered
+    where len(embedding) > 0 and len([x for x in embedding if x is null or not isfinite(x)]) = 0
 ), scored as (
-    select q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
-    from whole q join whole c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id
+    select q.nr, q.vec_id as query_id, c.vec_id, list_dot_product(q.e, c.e)::bigint as score
+    from whole q join whole c on q.vec_id % 50 = 0 and q.nr <> c.nr
 )
-select query_id, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank, vec_id, score
+select query_id, row_number() over (partition by nr order by score desc, vec_id nulls last)::integer as rank, vec_id, score
 from scored
 qualify rank <= 5
 """

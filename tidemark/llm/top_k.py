@@ -108,14 +108,14 @@ def top_k(table: DataFrame, query, key: str = "vec_id", vector: str = "embedding
     ``query`` is a condition on ``key``. Components become ``floor(scale * x)``. Every
     query first searches the shard that holds it; its last score there goes with it to
     all other shards, whose boxes below it are never opened. Distinct queries meet
-    shards in blocks. Null and empty vectors, those with a null or non-finite component,
-    and rows without a key take no part; zero vectors do. A key counts once, with the
-    least of its vectors, and is never its own neighbour. Fewer than ``k`` others: all of them. Components
-    and scores beyond 64 bits stop there. Vectors of different lengths are an error.
+    shards in blocks. Null and empty vectors, those with a null or non-finite component
+    take no part; zero vectors do. Every other row counts, be its key repeated or null, and only the query's own row
+    is never its neighbour; each row of a repeated query key has its own answer. Ties go to the smaller key, null
+    keys last. Fewer than ``k`` others: all of them. Components and scores beyond 64 bits stop there. Vectors of different lengths are an error.
     """
-    rows = vectors.keyed(table, key, vector)
+    rows = vectors.numbered(table, key, vector)
     rows = rows.withColumn("vector", F.transform("vector", lambda x: F.floor(x * scale)))
-    asked = rows.where(query(F.col("id")))
+    asked = rows.where(query(F.col("name")))
     base, blocks = vectors.distinct_vectors(rows, k), vectors.distinct_queries(asked)
     shards, parts = base.select("shards").first(), blocks.select("blocks").first()
     if shards is None or parts is None:
@@ -129,7 +129,7 @@ def top_k(table: DataFrame, query, key: str = "vec_id", vector: str = "embedding
         "home",
     )
     if shards[0] == 1:
-        return vectors.ranked(first, asked, k)
+        return vectors.ranked(first, asked, rows, k)
     floors = first.groupBy("query").agg(F.when(F.count("*") > k, F.min("score")).alias("floor"))
     away = blocks.withColumn("home", home).join(floors, "query").withColumn("shard", vectors.each(shards[0])).where("shard != home")
     left = base.withColumn("block", vectors.each(parts[0]))
@@ -138,4 +138,4 @@ def top_k(table: DataFrame, query, key: str = "vec_id", vector: str = "embedding
         .cogroup(away.select("query", "vector", "floor", "shard", "block").groupBy("shard", "block"))
         .applyInArrow(lambda a, b: shard_top(a, b, k + 1), kinds)
     )
-    return vectors.ranked(first.union(others), asked, k)
+    return vectors.ranked(first.union(others), asked, rows, k)

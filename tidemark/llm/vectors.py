@@ -1,7 +1,7 @@
 """Vectors as shards, queries as blocks: what nearest-neighbour searches share.
 
-Equal vectors are one vector with its smallest ids, equal queries one query, so
-a vector that a third of all rows hold costs no more than another. A search is
+Every row has a number of its own. Equal vectors are one vector with its smallest
+numbers, equal queries one query, so a vector that a third of all rows hold costs no more than another. A search is
 for one more than the wanted number, which leaves enough once the query's own
 row is taken out.
 """
@@ -30,13 +30,19 @@ def finite(vector: str) -> Column:
     return value.isNotNull() & (F.size(value) > 0) & ~bad
 
 
-def keyed(table: DataFrame, key: str, vector: str, usable: Column | None = None) -> DataFrame:
-    """``id``, ``vector`` (double) of the rows that take part, one per key: of several vectors of a key the least."""
+def numbered(table: DataFrame, key: str, vector: str, usable: Column | None = None) -> DataFrame:
+    """``name`` (the key), ``vector`` (double), ``id`` of every row that takes part.
+
+    ``id`` numbers the rows in the order of their keys, null keys last, so rows of one key stay apart and
+    ties by ``id`` are ties by key. Rows of one key are spread by their vectors, equal rows by where they lie.
+    """
     doubles = F.transform(F.col(vector), lambda x: x.cast("double"))
-    rows = table.select(F.col(key).alias("id"), doubles.alias("vector")).where(F.col("id").isNotNull() & finite("vector"))
+    rows = table.select(F.col(key).alias("name"), doubles.alias("vector")).where(finite("vector"))
     if usable is not None:
         rows = rows.where(usable)
-    return rows.groupBy("id").agg(F.min("vector").alias("vector"))
+    spots = rows.withColumn("spot", F.monotonically_increasing_id())
+    order = spots.orderBy(F.col("name").asc_nulls_last(), F.xxhash64("vector"), "spot")
+    return settle(order.select("name", "vector", F.monotonically_increasing_id().alias("id")), "rows")
 
 
 def distinct_vectors(rows: DataFrame, k: int) -> DataFrame:
@@ -91,18 +97,17 @@ def best(scores: np.ndarray, rows: np.ndarray, ids: tuple[np.ndarray, np.ndarray
     return own[order], scores[order]
 
 
-def ranked(found: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """The ``k`` best of every row of ``queries`` (``id``, ``vector``) from ``found`` (``query``, ``id``, ``score``)."""
+def ranked(found: DataFrame, queries: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best of every row of ``queries`` from ``found`` (``query``, ``id``, ``score``), under the names that ``rows`` have."""
     order = [F.col("score").desc(), F.col("id")]
     top = found.withColumn("nr", F.row_number().over(Window.partitionBy("query").orderBy(*order))).where(F.col("nr") <= k + 1)
     same = queries.groupBy("vector").agg(F.min("id").alias("query"))
-    asked = queries.join(same, "vector").select(F.col("id").alias("own"), "query")
+    asked = queries.join(same, "vector").select(F.col("id").alias("own"), F.col("name").alias("query_id"), "query")
     pairs = asked.join(top, "query").where(F.col("id") != F.col("own"))
     rank = F.row_number().over(Window.partitionBy("own").orderBy(*order))
-    return (
-        pairs.select(F.col("own").alias("query_id"), rank.alias("rank"), F.col("id").alias("vec_id"), "score")
-        .where(F.col("rank") <= k)
-    )
+    best_k = pairs.select("query_id", rank.alias("rank"), "id", "score").where(F.col("rank") <= k)
+    names = rows.select("id", F.col("name").alias("vec_id"))
+    return best_k.join(names, "id").select("query_id", "rank", "vec_id", "score")
 
 
 def answers(rows: list[tuple], score: pa.DataType) -> pa.Table:
