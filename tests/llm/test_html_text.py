@@ -39,6 +39,25 @@ def test_pages(source, wanted):
     assert text(source) == wanted
 
 
+@pytest.mark.parametrize(
+    "source, wanted",
+    [
+        ("<div class='site has-sidebar'><header>h</header><article><header><h1>T</h1></header>long text</article><div class=ads>a</div></div>", "T long text"),
+        ("<article class='post has-comments'>the text<div class=comments>c</div></article>", "the text"),
+        ("<article class='hentry category-search tag-social'><p>the text</p></article>", "the text"),
+        ("<form id=aspnetForm><input><nav>m</nav><article>the text<form>f</form></article></form>", "the text"),
+        ("<div class='layout--sidebar-right'><main>the text</main><div class=sidebar>s</div></div>", "the text"),
+        ("<div class=sidebar><article>teaser</article></div><div><p>all of the body</p></div>", "all of the body"),
+        ("<div id=comments><article class=comment-body>a comment longer than all else</article></div><article>real</article>", "real"),
+        ("<div><p>the body</p></div><div id=comments><article>a comment longer than the body</article></div>", "the body"),
+        ("<div><p>the body</p></div><article class=comment-body>a comment longer than the body</article>", "the body"),
+        ("<aside><article>never, however long it may be</article></aside><p>p", "p"),
+    ],
+)
+def test_names_do_not_take_the_article(source, wanted):
+    assert text(source) == wanted
+
+
 def site(i, body):
     return f"<html><body><div><span>Our site</span><a>Home</a></div>{body}<div>Bottom line {i % 2}</div></body></html>"
 

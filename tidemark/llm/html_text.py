@@ -42,7 +42,7 @@ FENCES = frozenset("ul ol table article section div main body html td th blockqu
 #: Never part of the main text.
 DROPPED = frozenset(
     "head script style title textarea xmp iframe noembed noframes noscript template svg math canvas object audio video"
-    " nav footer aside form select option button dialog menu".split()
+    " nav footer aside select option button dialog menu".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 #: Words of class or id that mark what is no main text.
@@ -62,6 +62,10 @@ class Node(NamedTuple):
     dropped: bool  # it or what holds it is no main text
     main: bool  # it lies in the main text's element
     marks: str
+    never: bool = False  # no main text by its own tag, role, style or the head of its name
+    named: bool = False  # a word of its name, or being a form, speaks against it
+    head: bool = False  # a header of the site, unless it lies in the main text's element
+    holder: bool = False  # an article, a main element or the like
 
 
 class Page:
@@ -72,6 +76,35 @@ class Page:
         self.texts: list[tuple[int, str]] = []
         self.spots: list[str] = []
         self._read(source or "")
+        if not any(n.main for n in self.nodes):
+            self._rescue()
+
+    def _rescue(self) -> None:
+        """Keep an article that only later words of names, or forms, speak against, if it has most of the page's text.
+
+        Such words tell of the layout (``site has-sidebar``), and such a form is the whole page. The article
+        and what holds it stay; all else is judged as before.
+        """
+        lost = [False] * len(self.nodes)
+        for i, n in enumerate(self.nodes):
+            lost[i] = n.never or n.parent >= 0 and lost[n.parent]
+        sizes = [0] * len(self.nodes)
+        for i, text in self.texts:
+            sizes[i] += 0 if lost[i] else len("".join(text.split()))
+        for i in range(len(self.nodes) - 1, 0, -1):
+            sizes[self.nodes[i].parent] += sizes[i]
+        best = max((i for i, n in enumerate(self.nodes) if n.holder and not lost[i]), key=lambda i: sizes[i], default=0)
+        if not best or 2 * sizes[best] <= sizes[0]:
+            return
+        kept, at = set(), best
+        while at > 0:
+            kept.add(at)
+            at = self.nodes[at].parent
+        for i, n in enumerate(self.nodes[1:], 1):
+            above = self.nodes[n.parent]
+            main = above.main or i == best
+            dropped = above.dropped or n.never or i not in kept and (n.named or n.head and not above.main)
+            self.nodes[i] = n._replace(dropped=dropped, main=main and not dropped)
 
     def _read(self, source: str) -> None:
         stack, at = [0], 0
@@ -129,20 +162,25 @@ class Page:
         for key, *values in ATTRIBUTE.findall(written):
             attributes.setdefault(key.lower(), next((v for v in values if v), ""))
         names = (attributes.get("class", "") + " " + attributes.get("id", "")).lower()
-        marks = set()
+        marks, firm = set(), False
         if not names.isspace():
             # words, and names without what separates their words: side-bar is a sidebar; numbers at the end tell nothing
             whole = [re.sub("[^a-z0-9]+", "", x) for x in names.split()]
             marks = {x.rstrip("0123456789") for x in [*re.split("[^a-z0-9]+", names), *whole]}
+            # a name that is such a word or begins with one (comment-body), not one like has-sidebar
+            leading = [*whole, *(re.split("[^a-z0-9]+", x)[0] for x in names.split())]
+            firm = not MARKS.isdisjoint(x.rstrip("0123456789") for x in leading)
         role = attributes.get("role", "").lower()
-        main = above.main or not above.dropped and (name in ("article", "main") or role == "main" or attributes.get("itemprop") == "articleBody")
-        dropped = above.dropped or name in DROPPED or role in ROLES or "hidden" in attributes
-        dropped = dropped or bool(re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I))
-        if name not in ("html", "body", "main"):
-            dropped = dropped or not MARKS.isdisjoint(marks)
-        if not above.main and (name in HEADS or not HEADS.isdisjoint(marks) and name not in ("html", "body", "article", "main")):
-            dropped = True
-        self.nodes.append(Node(name, parent, dropped, main and not dropped, " ".join(sorted(filter(None, marks)))))
+        holder = name in ("article", "main") or role == "main" or attributes.get("itemprop") == "articleBody"
+        never = name in DROPPED or role in ROLES or "hidden" in attributes
+        never = never or bool(re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I))
+        whole_page = name in ("html", "body", "main")
+        named = name == "form" or not whole_page and not MARKS.isdisjoint(marks)
+        never = never or firm and not whole_page
+        head = name in HEADS or not HEADS.isdisjoint(marks) and not whole_page and name != "article"
+        dropped = above.dropped or never or named or head and not above.main
+        main = (above.main or holder) and not dropped
+        self.nodes.append(Node(name, parent, dropped, main, " ".join(sorted(filter(None, marks))), never, named, head, holder))
         return len(self.nodes) - 1
 
     def segments(self) -> list[tuple[list[int], list[int], str]]:
@@ -207,7 +245,8 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", source: st
     """``key``, ``url``, ``text``, ``n_chars`` (code points) of every row.
 
     Elements that are no main text by their nature, role or class go at once: menus,
-    footers, forms, scripts, comments. Every subtree that is left outside the article, or
+    footers, forms, scripts, comments. Where that leaves no article, one that holds most of
+    the text stays whatever the names around it say. Every subtree that is left outside the article, or
     is a box within it, is hashed; the hashes are counted per host over its different
     pages (copies are one), and what recurs on many of them is deleted there. References are
     decoded, white space is one space, blocks are joined by one. Paragraphs of an article
