@@ -358,6 +358,8 @@ FROM c_means JOIN c_ends USING (country, m)""",
         ),
         "daily_increase": _with(INCREASES, f"SELECT country, province, {day}, CAST(inc AS BIGINT) AS inc FROM increases"),
         "trend_slope_top100": _with(DAILY_TOP, "SELECT rank, country, province, slope FROM steepest ORDER BY rank"),
+        "appended_daily_increase": _with(INCREASES, f"SELECT country, province, {day}, CAST(inc AS BIGINT) AS inc FROM increases"),
+        "appended_slope_top100": _with(DAILY_TOP, "SELECT rank, country, province, slope FROM steepest ORDER BY rank"),
         "continent_label": _with(
             LOCATED + ", " + _labels("located", "c_custkey"), "SELECT c_custkey, continent FROM labelled"
         ),

@@ -40,10 +40,14 @@ def slope_of_increases(day: Column, level: Column) -> Column:
     level = level.cast("bigint")
     n = F.count(day) - 1
     first, last = F.min_by(level, day), F.max_by(level, day)
-    sum_xy = n * last - (F.sum(level) - first)
+    return F.when(F.count(level) == F.count(day), slope_of_sums(n, first, last, F.sum(level)))
+
+
+def slope_of_sums(n: Column, first: Column, last: Column, total: Column) -> Column:
+    """``slope_of_increases`` from its sums: ``n`` increases, the first and last level, and the total of all levels."""
+    sum_xy = n * last - (total - first)
     over = _product(F.lit(12), sum_xy) - _product((n - 1) * 6, last - first)
-    under = n * (n * n - 1)
-    return F.when(F.count(level) == F.count(day), _ratio(over, under))
+    return _ratio(over, n * (n * n - 1))
 
 
 def slope_of_counts(position: Column, count: Column, increases: Column) -> Column:

@@ -17,7 +17,7 @@ from tidemark.operators import joins, monthly as buckets, panel as panels, polyg
 from tidemark.operators.ranking import top
 from tidemark.operators.scaling import min_max
 from tidemark.operators.weekly import weekly_stats
-from tidemark.plans import clusters, monthly, trends
+from tidemark.plans import appended, clusters, monthly, trends
 from tidemark.session import new_folder, settle
 from tidemark.sources import tables, wide_csv
 from tidemark.streaming import weekly as arriving
@@ -250,6 +250,34 @@ def trend_slope_top100(spark: SparkSession, root: str) -> DataFrame:
     return trends.steepest_daily(tables.order_panel(spark, root), PLACE).select("rank", *_place(), _slope())
 
 
+def _appended(spark: SparkSession, root: str, batches: int = 3) -> list[DataFrame]:
+    """The panel of orders as it arrives: batches of days, oldest first, from one written table."""
+    first, last = _range(spark, root)
+    panel = settle(tables.order_panel(spark, root), "arriving")
+    batch = F.date_diff("date", F.lit(first)) * batches / ((last - first).days + 1)
+    return [panel.where(F.floor(batch) == i) for i in range(batches)]
+
+
+def appended_slope_top100(spark: SparkSession, root: str) -> DataFrame:
+    """``trend_slope_top100`` with days that came in batches, each read once."""
+    first, *others = _appended(spark, root)
+    state = settle(appended.known(first, PLACE), "known")
+    for later in others:
+        state = settle(appended.merged(state, appended.known(later, PLACE), PLACE), "known")
+    report = top(appended.slopes(state, PLACE), "slope", PLACE, trends.STEEPEST_DAILY)
+    return report.select("rank", *_place(), _slope())
+
+
+def appended_daily_increase(spark: SparkSession, root: str) -> DataFrame:
+    """``daily_increase`` with days that came in batches: each adds its own increases."""
+    first, *others = _appended(spark, root)
+    state, found = settle(appended.known(first, PLACE), "known"), panels.increase(first, PLACE)
+    for later in others:
+        found = found.unionByName(appended.increases(state, later, PLACE))
+        state = settle(appended.merged(state, appended.known(later, PLACE), PLACE), "known")
+    return found.select(*_place(), _day(), "inc")
+
+
 def continent_label(spark: SparkSession, root: str) -> DataFrame:
     label = continent("lat", "lon").alias("continent")
     return tables.customer_locations(spark, root).select("c_custkey", label)
@@ -434,6 +462,8 @@ QUERIES: Sequence[Callable[[SparkSession, str], DataFrame]] = (
     written_totals,
     daily_increase,
     trend_slope_top100,
+    appended_slope_top100,
+    appended_daily_increase,
     continent_label,
     continent_label_corrected,
     continent_label_sql,
