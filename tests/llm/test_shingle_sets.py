@@ -70,3 +70,17 @@ def test_minima_tell_pairs_that_are_far_from_alike(spark):
     assert [found[i] for i in range(len(rows))] == by_hand
     most = shingle_sets.most_mismatches(Fraction(4, 5))
     assert all(found[i] <= most for i, s in enumerate(wanted) if s >= 0.8) and all(found[i] > most for i, s in enumerate(wanted) if s <= 0.5)
+
+
+def test_fingerprints_bring_near_copies_together(spark, monkeypatch):
+    planes = [0] * (shingle_sets.PLANES * shingle_sets.BANDS * shingle_sets.ROWS // 64)
+    monkeypatch.setattr(shingle_sets, "bands", lambda found: ([], planes))  # nothing meets in a band
+    words = [f"w{i * 7919 % 1009}" for i in range(600)]
+    base = "one two three four five " * 300
+    texts = [" ".join(words), " ".join(words[:-1] + ["other"]), base + "a b c d e f g h i", base + "j k l m n o p q r", "", None, "alone"]
+    marks = [shingle_sets.simhash.fingerprint(t, corpus_pipeline.SHINGLE) for t in texts]
+    assert all((marks[i] ^ marks[i + 1]).bit_count() <= shingle_sets.RADIUS for i in (0, 2))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = corpus_pipeline.distinct(spark, docs, "")
+    # the second two have near fingerprints, but unlike sets
+    assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3, 4, 6]

@@ -1,4 +1,4 @@
-"""Near-duplicate documents by exact Jaccard similarity of their word shingles, met by banded minima."""
+"""Near-duplicate documents by exact Jaccard similarity of their word shingles, met by SimHash fingerprints and by banded minima."""
 
 from __future__ import annotations
 
@@ -21,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED = 42
 BANDS, ROWS = 32, 6  # two sets of similarity 0.8 share none of the bands with a chance of 6 in 100,000
+RADIUS = 3  # differing bits up to which fingerprints bring two sets together
 PLANES = 4  # bits kept of each least permuted hash
 DEVIATIONS = 5  # standard deviations of mismatches from which a pair is left out unread
 HASHES = 1_024  # shingles whose permutations are taken at a time
@@ -78,18 +79,20 @@ def most_mismatches(least: Fraction) -> int:
 
 
 def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``key``, ``hash`` (of the text), ``print`` (of the set), ``size``, ``bands`` and ``planes`` of every row."""
+    """``key``, ``hash`` (of the text), ``print`` (of the set), ``size``, ``mark`` (the SimHash), ``bands`` and ``planes`` of every row."""
     narrow = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).alias("text"))
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([narrow.schema["key"], narrow.schema["hash"]]).add("print", "long").add("size", "long").add("bands", longs).add("planes", longs)
+    schema = T.StructType([narrow.schema["key"], narrow.schema["hash"]]).add("print", "long").add("size", "long").add("mark", "long").add("bands", longs).add("planes", longs)
 
     def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(i, BATCH)
-                found = [(print_of(s), len(s), *bands(s)) for s in (shingles(x, size) for x in batch.column("text").to_pylist())]
+                texts = batch.column("text").to_pylist()
+                found = [(print_of(s), len(s), *bands(s)) for s in (shingles(x, size) for x in texts)]
                 prints, sizes, dealt, planes = zip(*found)
-                columns = [pa.array(x, pa.int64()) for x in (prints, sizes)] + [pa.array(x, pa.list_(pa.int64())) for x in (dealt, planes)]
+                marks = np.array([simhash.fingerprint(x, size) for x in texts], np.uint64).view(np.int64)
+                columns = [pa.array(x, pa.int64()) for x in (prints, sizes, marks)] + [pa.array(x, pa.list_(pa.int64())) for x in (dealt, planes)]
                 yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("hash"), *columns], schema.names)
 
     return settle(narrow.mapInArrow(of, schema), "sketches")
@@ -140,16 +143,30 @@ def alike(pairs: DataFrame, sets: DataFrame, least: Fraction) -> DataFrame:
     return both.where(shared * (least.numerator + least.denominator) >= total * least.numerator).select("a", "b")
 
 
+def near_marks(named: DataFrame) -> DataFrame:
+    """``a``, ``b``: pairs of sets to compare, as their fingerprints are at most ``RADIUS`` bits apart.
+
+    Sets of one fingerprint form a star around the least, and the fingerprints are joined by the forest of
+    ``simhash.links``; what this leaves out the bands bring together.
+    """
+    marked = settle(named.where("size > 0").select("print", "mark").distinct(), "marks")
+    least = marked.groupBy("mark").agg(F.min("print").alias("least"))
+    near = simhash.links(marked.select(F.col("mark").alias("print")).distinct(), RADIUS).distinct()
+    one, two = (least.select(F.col("mark").alias(m), F.col("least").alias(x)) for m, x in (("a", "x"), ("b", "y")))
+    across = near.join(one, "a").join(two, "b").select("x", "y")
+    pairs = marked.join(least, "mark").select(F.col("print").alias("x"), F.col("least").alias("y")).union(across).where("x != y")
+    return settle(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "near-marks")
+
+
 def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, least: Fraction) -> DataFrame:
-    """``a``, ``b``: links that connect the distinct sets of ``named`` which share a band and are ``least`` alike.
+    """``a``, ``b``: links that connect the distinct sets of ``named`` which are ``least`` alike and have near fingerprints or share a band.
 
-    Large buckets are first joined to stars: each round one set of every bucket is
+    Sets of near fingerprints are compared first. Large buckets are first joined to stars: each round one set of every bucket is
     compared with all of it that are not yet of its component. When a round no longer
     helps, or little is left, all pairs of a bucket that are still of different
     components are compared, so no pair is left out. A pair whose minima tell that it is far from
     alike is dropped where it meets, before its sets are read.
     """
-    spark = docs.sparkSession
     nodes = named.groupBy("print").agg(F.first("size").cast("int").alias("size"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
     nodes = settle(nodes, "distinct-sets")
     dealt = settle(nodes.select("print", F.explode("bands").alias("bucket")), "bands")
@@ -157,11 +174,16 @@ def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, lea
     members = dealt.join(small(settle(shared, "shared")), "bucket")
     members = settle(members.join(nodes.select("print", "size", "planes"), "print"), "buckets")
     discard(dealt)
+    marked = near_marks(named)
     rows = members.count()
+    compared = members.select("print").union(marked.select(F.explode(F.array("a", "b")))).distinct()
+    sets = sets_of(docs, key, text, size, named, settle(compared, "members"))
+    found = settle(alike(marked, sets, least), "alike")
     if not rows:
-        return spark.createDataFrame([], "a long, b long")
-    sets = sets_of(docs, key, text, size, named, settle(members.select("print").distinct(), "members"))
-    found, state = None, members.withColumn("comp", F.col("print"))
+        return found
+    roots = connected(found, "a", "b")
+    joined = members.join(roots, F.col("print") == F.col("node"), "left")
+    state = settle(joined.select("bucket", "print", "size", "planes", F.coalesce("root", "print").alias("comp")), "bucket-state")
     before, level, most = None, 0, most_mismatches(least)
     while True:
         parts = state.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
@@ -189,16 +211,15 @@ def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, lea
         )
         pairs = met.select(F.least("a", "print").alias("a"), F.greatest("a", "print").alias("b")).distinct()
         new = settle(alike(settle(pairs, "pairs"), sets, least), "alike")
-        found = new if found is None else found.union(new)
+        found = found.union(new)
         if last:
             break
         roots = connected(found, "a", "b")
         comp = F.coalesce("root", "print").alias("comp")
         moved = settle(members.join(roots, F.col("print") == F.col("node"), "left").select("bucket", "print", "size", "planes", comp), "bucket-state")
-        if level:
-            discard(state)
+        discard(state)
         state, before, level = moved, work, level + 1
-    return spark.createDataFrame([], "a long, b long") if found is None else found
+    return found
 
 
 def firsts(docs: DataFrame, key: str, text: str, size: int, least: Fraction) -> DataFrame:
