@@ -96,3 +96,21 @@ def test_table(spark, sf):
         assert r.taken <= 2 * r.size
     for r in got:
         assert abs(taken[r.source] - r.target) <= largest[r.source]
+
+
+def test_few_copies_are_found_where_the_texts_lie(spark):
+    rows = [(i, "ab"[i % 2], f"text {'x ' * (i % 7)}{i}") for i in range(300)] + [(1, "b", "text x 1")] * 4
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        taken = mixing.taken(docs, mixing.words("text"))
+        plan = taken._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    got, sized = Counter(taken.collect()), docs.withColumn("size", mixing.words("text"))
+    want = Counter()
+    for r in mixing.mix(sized, F.col("size")).collect():
+        want[r.row.source] += r.copies
+    have = Counter(r.source for r in got.elements())
+    assert all(abs(have[s] - n) <= 2 for s, n in want.items()) and set(got) <= set(docs.collect())

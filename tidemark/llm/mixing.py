@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.llm.simhash import free_name
+from tidemark.llm.simhash import FEW, free_name
 from tidemark.session import settle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -206,17 +206,22 @@ def taken(docs: DataFrame, size: Column, source: str = "source", **rates) -> Dat
     their mean, and one of them the rest. A null source comes last; a size of 0 or null is never taken;
     no row gives no row, and columns of any names pass.
     """
-    one, two, whole, rest, copy = (free_name(docs, n) for n in ("one", "two", "whole", "rest", "copy"))
+    one, two, whole, rest, many, copy = (free_name(docs, n) for n in ("one", "two", "whole", "rest", "many", "copy"))
     row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
     narrow = docs.select(F.xxhash64(row).alias("one"), F.xxhash64(row, F.lit(1)).alias("two"), F.col(source).alias("source"), size.alias("size"))
     mixed = mix(narrow, F.col("size"), "source", **rates)
     counted = mixed.groupBy("row.one", "row.two").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     each = F.floor(F.col("copies") / F.col("rows"))
-    counted = counted.select(F.col("one").alias(one), F.col("two").alias(two), each.alias(whole), (F.col("copies") - each * F.col("rows")).alias(rest))
-    found = docs.join(settle(counted, "copies"), (F.xxhash64(row) == F.col(one)) & (F.xxhash64(row, F.lit(1)) == F.col(two)))
-
-    def times(rows: DataFrame, count: str) -> DataFrame:
-        often = F.explode(F.array_repeat(F.lit(0), F.col(count).cast("int"))).alias(copy)
-        return rows.where(F.col(count) > 0).select(*(f"`{c}`" for c in docs.columns), often).drop(copy)
-
-    return times(found, whole).union(times(found.where(F.col(rest) > 0).dropDuplicates([one, two]), rest))
+    left = F.col("copies") - each * F.col("rows")
+    counted = counted.select(F.col("one").alias(one), F.col("two").alias(two), each.alias(whole), left.alias(rest), (F.col("rows") > 1).alias(many))
+    # a row that is the only one of its kind is found where it lies, and none is moved for the few that repeat
+    counted = settle(counted.where((F.col(whole) > 0) | (F.col(rest) > 0)), "copies")
+    counted = F.broadcast(counted) if counted.count() <= FEW else counted
+    found = docs.join(counted, (F.xxhash64(row) == F.col(one)) & (F.xxhash64(row, F.lit(1)) == F.col(two)))
+
+    def times(rows: DataFrame, count: Column) -> DataFrame:
+        often = F.explode(F.array_repeat(F.lit(0), count.cast("int"))).alias(copy)
+        return rows.select(*(f"`{c}`" for c in docs.columns), often).drop(copy)
+
+    repeated = found.where(F.col(many) & (F.col(rest) > 0)).dropDuplicates([one, two])
+    return times(found, F.col(whole) + F.when(F.col(many), F.lit(0)).otherwise(F.col(rest))).union(times(repeated, F.col(rest)))
