@@ -84,3 +84,37 @@ def test_fingerprints_bring_near_copies_together(spark, monkeypatch):
     got = corpus_pipeline.distinct(spark, docs, "")
     # the second two have near fingerprints, but unlike sets
     assert sorted(r.doc_id for r in got.collect()) == [0, 2, 3, 4, 6]
+
+
+def test_maps_never_tell_too_few_shared(spark):
+    rng = random.Random(5)
+    rows, wanted = [], []
+    for size in (0, 1, 30, 150, 600, 5_000):
+        for share in (0.0, 0.5, 0.8, 1.0):
+            both = [rng.getrandbits(64) for _ in range(int(size * share))]
+            one, two = (np.unique(np.array(both + [rng.getrandbits(64) for _ in range(size - len(both))], np.uint64)) for _ in range(2))
+            rows.append((len(rows), shingle_sets.cells(one), shingle_sets.cells(two), len(one), len(two)))
+            wanted.append(len(both))
+    table = spark.createDataFrame(rows, "id long, a array<long>, b array<long>, m int, n int")
+    found = {r.id: r.most for r in table.select("id", shingle_sets.most_shared("a", "b", "m", "n").alias("most")).collect()}
+    assert all(found[i] >= n for i, n in enumerate(wanted))
+    assert all(found[i] <= n + 30 for i, n in enumerate(wanted) if len(rows[i][1]) and rows[i][3] <= 150)
+
+
+def test_few_of_a_large_group_are_compared(spark, monkeypatch):
+    rng, counts, real = random.Random(9), [], shingle_sets.alike
+    monkeypatch.setattr(shingle_sets, "alike", lambda pairs, *x: counts.append(pairs.count()) or real(pairs, *x))
+    words = [f"w{i}" for i in range(150)]
+
+    def edited(n, times):
+        own = words.copy()
+        for k, at in enumerate(rng.sample(range(5, 145), times)):
+            own[at] = f"x{n}y{k}"
+        return " ".join(own)
+
+    # 60 that are like each other, and 150 that are like none of these, but nearly so (0.6 to 0.75)
+    rows = [(i, edited(i, 1 if i < 60 else 4)) for i in range(210)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.doc_id for r in corpus_pipeline.distinct(spark, docs, "").collect())
+    assert got == by_hand(docs.collect())
+    assert len(got) > 130 and sum(counts) < 5 * len(rows), counts

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from fractions import Fraction
 from functools import reduce
 
@@ -23,11 +23,13 @@ SEED = 42
 BANDS, ROWS = 32, 6  # two sets of similarity 0.8 share none of the bands with a chance of 6 in 100,000
 RADIUS = 3  # differing bits up to which fingerprints bring two sets together
 PLANES = 4  # bits kept of each least permuted hash
+CELLS = 1_024  # bits of a set's map, one for all of its hashes that end alike
 DEVIATIONS = 5  # standard deviations of mismatches from which a pair is left out unread
 HASHES = 1_024  # shingles whose permutations are taken at a time
 BATCH = 256  # documents of a written batch
 FEW = 500_000  # rows of a table that is sent to every executor, about 50 MB
 GAIN = 0.9  # share of the pairs left, above which another round of stars does not pay
+ONE = {"print": "a", "size": "m", "comp": "own", "planes": "marks", "cells": "map"}  # names of a set with which those of its bucket are compared
 WIDE = 4  # pairs a bucket's member may give before its bucket is first joined to stars
 
 
@@ -72,6 +74,26 @@ def mismatches(a: str, b: str) -> Column:
     return reduce(lambda x, y: x + y, map(F.bit_count, differ))
 
 
+def cells(found: np.ndarray) -> list[int]:
+    """A map of ``CELLS`` bits, as signed numbers of 64: which endings the hashes of a set have."""
+    held = np.zeros(CELLS, np.uint8)
+    held[found & np.uint64(CELLS - 1)] = 1
+    return np.packbits(held, bitorder="little").view("<i8").tolist()
+
+
+def most_shared(a: str, b: str, m: str, n: str) -> Column:
+    """No fewer than the hashes that two sets of ``m`` and ``n`` share, by their maps ``a`` and ``b``: never too few.
+
+    A shared hash has its bit in both maps; those beyond one a bit are no more than either set has beyond its bits.
+    """
+
+    def total(bits: Callable[[Column], Column]) -> Column:
+        return reduce(lambda x, y: x + y, (F.bit_count(bits(F.lit(i))) for i in range(CELLS // 64)))
+
+    both = total(lambda i: F.get(a, i).bitwiseAND(F.get(b, i)))
+    return both + F.least(F.col(m) - total(lambda i: F.get(a, i)), F.col(n) - total(lambda i: F.get(b, i)))
+
+
 def most_mismatches(least: Fraction) -> int:
     """Mismatches that a pair of similarity ``least`` passes only with a chance of about 1 in a million: ``DEVIATIONS`` above the mean."""
     hashes, share = BANDS * ROWS, float(1 - least) * (1 - 2.0**-PLANES)
@@ -79,20 +101,20 @@ def most_mismatches(least: Fraction) -> int:
 
 
 def sketched(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``key``, ``hash`` (of the text), ``print`` (of the set), ``size``, ``mark`` (the SimHash), ``bands`` and ``planes`` of every row."""
+    """``key``, ``hash`` (of the text), ``print`` (of the set), ``size``, ``mark`` (the SimHash), ``bands``, ``planes`` and ``cells`` of every row."""
     narrow = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("hash"), F.col(text).alias("text"))
     longs = T.ArrayType(T.LongType())
-    schema = T.StructType([narrow.schema["key"], narrow.schema["hash"]]).add("print", "long").add("size", "long").add("mark", "long").add("bands", longs).add("planes", longs)
+    schema = T.StructType([narrow.schema["key"], narrow.schema["hash"]]).add("print", "long").add("size", "long").add("mark", "long").add("bands", longs).add("planes", longs).add("cells", longs)
 
     def of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, BATCH):
                 batch = whole.slice(i, BATCH)
                 texts = batch.column("text").to_pylist()
-                found = [(print_of(s), len(s), *bands(s)) for s in (shingles(x, size) for x in texts)]
-                prints, sizes, dealt, planes = zip(*found)
+                found = [(print_of(s), len(s), *bands(s), cells(s)) for s in (shingles(x, size) for x in texts)]
+                prints, sizes, dealt, planes, maps = zip(*found)
                 marks = np.array([simhash.fingerprint(x, size) for x in texts], np.uint64).view(np.int64)
-                columns = [pa.array(x, pa.int64()) for x in (prints, sizes, marks)] + [pa.array(x, pa.list_(pa.int64())) for x in (dealt, planes)]
+                columns = [pa.array(x, pa.int64()) for x in (prints, sizes, marks)] + [pa.array(x, pa.list_(pa.int64())) for x in (dealt, planes, maps)]
                 yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("hash"), *columns], schema.names)
 
     return settle(narrow.mapInArrow(of, schema), "sketches")
@@ -165,14 +187,15 @@ def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, lea
     compared with all of it that are not yet of its component. When a round no longer
     helps, or little is left, all pairs of a bucket that are still of different
     components are compared, so no pair is left out. A pair whose minima tell that it is far from
-    alike is dropped where it meets, before its sets are read.
+    alike, or whose maps (see ``most_shared``) that it shares too little, is dropped where it meets, before its sets are read.
     """
-    nodes = named.groupBy("print").agg(F.first("size").cast("int").alias("size"), F.first("bands").alias("bands"), F.first("planes").alias("planes"))
+    parts_of = F.first("size").cast("int").alias("size"), *(F.first(c).alias(c) for c in ("bands", "planes", "cells"))
+    nodes = named.groupBy("print").agg(*parts_of)
     nodes = settle(nodes, "distinct-sets")
     dealt = settle(nodes.select("print", F.explode("bands").alias("bucket")), "bands")
     shared = dealt.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = dealt.join(small(settle(shared, "shared")), "bucket")
-    members = settle(members.join(nodes.select("print", "size", "planes"), "print"), "buckets")
+    members = settle(members.join(nodes.select("print", "size", "planes", "cells"), "print"), "buckets")
     discard(dealt)
     marked = near_marks(named)
     rows = members.count()
@@ -183,7 +206,7 @@ def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, lea
         return found
     roots = connected(found, "a", "b")
     joined = members.join(roots, F.col("print") == F.col("node"), "left")
-    state = settle(joined.select("bucket", "print", "size", "planes", F.coalesce("root", "print").alias("comp")), "bucket-state")
+    state = settle(joined.select("bucket", "print", "size", "planes", "cells", F.coalesce("root", "print").alias("comp")), "bucket-state")
     before, level, most = None, 0, most_mismatches(least)
     while True:
         parts = state.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
@@ -198,16 +221,16 @@ def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, lea
         open_ = state.join(sums.select("bucket", "main"), "bucket")
         others = open_.where("comp != main")
         if last:
-            ones = others.select("bucket", F.col("print").alias("a"), F.col("size").alias("m"), F.col("comp").alias("own"), F.col("planes").alias("marks"))
+            ones = others.select("bucket", F.struct("print", "size", "comp", "planes", "cells").alias("one"))
         else:
-            first = F.min_by(F.struct("print", "size", "comp", "planes"), F.struct(F.xxhash64("print", "bucket", F.lit(level)), F.col("print"))).alias("one")
-            ones = others.groupBy("bucket").agg(first).select(
-                "bucket", F.col("one.print").alias("a"), F.col("one.size").alias("m"), F.col("one.comp").alias("own"), F.col("one.planes").alias("marks")
-            )
+            first = F.min_by(F.struct("print", "size", "comp", "planes", "cells"), F.struct(F.xxhash64("print", "bucket", F.lit(level)), F.col("print"))).alias("one")
+            ones = others.groupBy("bucket").agg(first)
+        ones = ones.select("bucket", *(F.col(f"one.{c}").alias(n) for c, n in ONE.items()))
         met = open_.join(ones, "bucket").where(
             (F.col("comp") != F.col("own"))
             & (F.least("size", "m") * least.denominator >= F.greatest("size", "m") * least.numerator)
             & (mismatches("planes", "marks") <= most)
+            & (most_shared("cells", "map", "size", "m") * (least.numerator + least.denominator) >= (F.col("size") + F.col("m")) * least.numerator)
         )
         pairs = met.select(F.least("a", "print").alias("a"), F.greatest("a", "print").alias("b")).distinct()
         new = settle(alike(settle(pairs, "pairs"), sets, least), "alike")
@@ -216,7 +239,7 @@ def links(docs: DataFrame, key: str, text: str, size: int, named: DataFrame, lea
             break
         roots = connected(found, "a", "b")
         comp = F.coalesce("root", "print").alias("comp")
-        moved = settle(members.join(roots, F.col("print") == F.col("node"), "left").select("bucket", "print", "size", "planes", comp), "bucket-state")
+        moved = settle(members.join(roots, F.col("print") == F.col("node"), "left").select("bucket", "print", "size", "planes", "cells", comp), "bucket-state")
         discard(state)
         state, before, level = moved, work, level + 1
     return found
