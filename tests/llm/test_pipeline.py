@@ -1,7 +1,9 @@
 from collections import Counter
 
 import corpus_pipeline
+import pandas as pd
 from test_shingle_sets import by_hand
+from tidemark import session
 from tidemark.llm import mixing, simhash
 from tidemark.llm.queries import byte_bpe
 from tokenizers import Tokenizer
@@ -57,3 +59,18 @@ def test_repeats_nulls_and_names(spark):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, plain, "/root/testdata/sf0.001")
         assert len(out.collect()) >= 0 and stage(spark, plain.limit(0), "/root/testdata/sf0.001").collect() == []
+
+
+def test_stages_send_small_batches_to_python(spark):
+    docs = spark.createDataFrame([(i, f"text {i} of plain words", "en", "a", 1) for i in range(3)], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = spark.range(0, 5_000, 1, 1)
+    before = spark.conf.get(session.BATCH_KEY)
+    for _, stage in corpus_pipeline.STAGES:
+        spark.conf.set(session.BATCH_KEY, "10000")
+        stage(spark, docs, "/root/testdata/sf0.001")
+        sizes = rows.mapInPandas(lambda batches: (pd.DataFrame({"n": [len(x)]}) for x in batches), "n long")
+        assert max(r.n for r in sizes.collect()) <= session.BATCH
+    spark.conf.set(session.BATCH_KEY, "7")
+    session.small_batches(spark)
+    assert spark.conf.get(session.BATCH_KEY) == "7"
+    spark.conf.set(session.BATCH_KEY, before)
